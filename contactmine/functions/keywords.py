@@ -13,16 +13,15 @@ from contactmine.schema import MISSING
 def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
     """Keywords contained in the text, case-insensitively, in list order.
 
-    The sentinel text never matches. Lower-casing is one shared subexpression.
+    The sentinel text never matches. Only generated code here, no lambda: the
+    lower-cased text is then computed once and shared by all tests.
     """
-    lowered = F.lower(text)
+    lowered = F.lower(F.nullif(text, F.lit(MISSING)))
     found = [
-        F.when(F.contains(lowered, F.lit(kw.lower())), F.lit(kw)) for kw in keywords
+        F.when(F.contains(lowered, F.lit(kw.lower())), F.lit(kw)).otherwise(F.lit(""))
+        for kw in keywords
     ]
-    hits = F.array_compact(F.array(*found))
-    return F.when(text.isNotNull() & (text != MISSING), hits).otherwise(
-        F.array().cast("array<string>")
-    )
+    return F.array_remove(F.array(*found), "")
 
 
 def may_hold_keyword(text: Column, keywords: Sequence[str]) -> Column:

@@ -102,7 +102,8 @@ def _matches(text: Column, pattern: str, cutoff: Column | None) -> Column:
     """Matches in order; with a cutoff only those starting at or before that offset."""
     if cutoff is None:
         return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    gapped = F.lit(f"(?s).*?{pattern}")
+    # \G: a search that fails does not start over one character further on.
+    gapped = F.lit(rf"(?s)\G.*?{pattern}")
     found = F.regexp_extract_all(text, gapped, F.lit(1))
     spans = F.zip_with(
         F.regexp_extract_all(text, gapped, F.lit(0)),

@@ -107,7 +107,7 @@ def decode_entities(col: Column) -> Column:
     decoded = col
     for entity, char in ENTITIES.items():
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
+    return decoded
 
 
 def markup_to_text(html: Column) -> Column:
