@@ -46,22 +46,18 @@ def _part(dom: Column, body: Column, card: Column, test: D.Test) -> Column:
     return F.coalesce(D.text_of(body, inside), F.lit(""))
 
 
-def listing(
-    pos: Column, title: Column, description: Column, label: Column, around: Column
-) -> Column:
-    """One listing struct from its texts; NULL when all are blank."""
-    raw = F.trim(F.concat_ws(" ", title, description, label))
-    return F.when(
-        raw != "",
-        F.struct(
-            pos.cast("int").alias("pos"),
-            listing_status(F.concat_ws(" ", raw, around)).alias("status"),
-            F.lower(title).alias("title"),
-            F.lower(description).alias("description"),
-            listing_type(raw, label).alias("type"),
-            F.lower(raw).alias("full_text"),
-        ),
-    )
+def listing_fields(
+    pos: Column, raw: Column, title: Column, description: Column, label: Column, around: Column
+) -> list[Column]:
+    """The fields of one listing; ``raw`` is its joined text."""
+    return [
+        pos.cast("int").alias("pos"),
+        listing_status(F.concat_ws(" ", raw, around)).alias("status"),
+        F.lower(title).alias("title"),
+        F.lower(description).alias("description"),
+        listing_type(raw, label).alias("type"),
+        F.lower(raw).alias("full_text"),
+    ]
 
 
 def card_listings(dom: Column, body: Column, cap: int = CARD_CAP) -> Column:
@@ -80,12 +76,14 @@ def card_listings(dom: Column, body: Column, cap: int = CARD_CAP) -> Column:
             _part(dom, body, card, D.class_holds(*_TYPE_CLASSES)).alias("label"),
             F.coalesce(D.text_of(body, D.parent(dom, card)), F.lit("")).alias("around"),
         )
-        return let(
-            parts,
-            lambda p: listing(
-                pos, p["title"], p["description"], p["label"], p["around"]
-            ),
-        )
+        def build(p: Column) -> Column:
+            raw = F.trim(F.concat_ws(" ", p["title"], p["description"], p["label"]))
+            fields = listing_fields(
+                pos, raw, p["title"], p["description"], p["label"], p["around"]
+            )
+            return F.when(raw != "", F.struct(*fields))
+
+        return let(parts, build)
 
     return F.filter(
         F.transform(listing_cards(dom, cap), read), lambda x: x.isNotNull()
@@ -146,13 +144,12 @@ def listing_rows(cards: DataFrame, key: str = "page_id", cap: int = CARD_CAP) ->
         .drop("_rn")
     )
 
-    def text(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(""))
-
-    made = listing(
-        F.col("pos"), text("title"), text("description"), text("type"), text("parent_text")
+    texts = [F.coalesce(F.col(c), F.lit("")) for c in ("title", "description", "type")]
+    joined = capped.withColumn("_raw", F.trim(F.concat_ws(" ", *texts)))
+    around = F.coalesce(F.col("parent_text"), F.lit(""))
+    return joined.filter(F.col("_raw") != "").select(
+        key, *listing_fields(F.col("pos"), F.col("_raw"), *texts, around)
     )
-    return capped.select(key, F.inline(F.array_compact(F.array(made))))
 
 
 def first_listing_match(
