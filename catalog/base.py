@@ -15,14 +15,23 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
+# Tables whose rows hold long texts or are turned into pages.
+HEAVY = {"pages", "documents", "customer", "part"}
 _NAME = re.compile(r"\{(" + "|".join([*TABLES, *VIEWS]) + r")\}")
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of fewer partitions; large inputs are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in HEAVY else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -35,7 +35,6 @@ from contactmine.sources.dom import nodes_table, parse_pages
 from contactmine.sources.pages import with_final_url
 
 HOST = "h.example.com"
-_DOM, _BODY = F.col("dom"), F.col("body_text")
 
 
 def _parsed(spark, sf_dir, name="fx_profiles"):
@@ -43,10 +42,12 @@ def _parsed(spark, sf_dir, name="fx_profiles"):
 
 
 def _field(name, sql, make, pages="fx_profiles"):
-    """A query with one field per page; ``make`` gives its column."""
+    """A query with one field per page; ``make(dom, body)`` gives its column."""
 
     def run(spark, sf_dir):
-        return _parsed(spark, sf_dir, pages).select("page_id", make().alias("value"))
+        return _parsed(spark, sf_dir, pages).select(
+            "page_id", make(F.col("dom"), F.col("body_text")).alias("value")
+        )
 
     query(name, sql and f"SELECT k AS page_id, {sql} AS value FROM {{fx_blocks}}")(run)
 
@@ -122,71 +123,74 @@ _H2 = "CASE k % 3 WHEN 0 THEN 'Company Overview' WHEN 1 THEN seg || ' LLC' END"
 _PLACE = "city || ', ' || st_code || ' ' || zip"
 _SIBLING = "CASE WHEN k % 3 = 0 THEN nullif(phones, '') ELSE holding END"
 
-_field("first_h1", _H1, lambda: X.tag_text(_DOM, _BODY, "h1"))
+# One of the segments is itself a prefix word.
+_PREFIXED = """CASE WHEN seg = 'BUILDING' AND k % 4 = 1 THEN 'Group' WHEN k % 3 = 0 THEN 'Overview'
+    WHEN seg = 'BUILDING' AND k % 3 = 1 THEN 'LLC' ELSE holding END"""
+
+_field("first_h1", _H1, lambda dom, body: X.tag_text(dom, body, "h1"))
 _field(
     "first_heading",
     f"coalesce({_H1}, {_H2}, 'About')",
-    lambda: X.heading_text(_DOM, _BODY),
+    lambda dom, body: X.heading_text(dom, body),
 )
 _field(
     "class_select",
     "tagline",
-    lambda: D.text_of(_BODY, D.first(_DOM, D.class_holds("tag"))),
+    lambda dom, body: D.text_of(body, D.first(dom, D.class_holds("tag"))),
 )
 _field(
     "link_prefix",
     "CASE WHEN k % 4 = 1 THEN 'mailto:' || email || '?subject=hi' WHEN k % 4 = 2 THEN 'mailto:nobody' END",
-    lambda: D.attr(D.first(_DOM, D.link_starts("mailto:")), "href"),
+    lambda dom, body: D.attr(D.first(dom, D.link_starts("mailto:")), "href"),
 )
 _field(
     "label_sibling",
     _SIBLING,
-    lambda: X.label_sibling_text(_DOM, _BODY, "company"),
+    lambda dom, body: X.label_sibling_text(dom, body, "company"),
 )
 _field(
     "previous_sibling",
     "coalesce(" + _H2 + ", tagline)",
-    lambda: D.text_of(_BODY, D.previous_sibling(_DOM, D.first(_DOM, D.has_class("phones")))),
+    lambda dom, body: D.text_of(body, D.previous_sibling(dom, D.first(dom, D.has_class("phones")))),
 )
 _field(
     "parent_text",
     _PLACE,
-    lambda: D.text_of(_BODY, D.parent(_DOM, D.first(_DOM, D.class_holds("pin")))),
+    lambda dom, body: D.text_of(body, D.parent(dom, D.first(dom, D.class_holds("pin")))),
 )
 _field(
     "grandparent_tag",
     "CASE WHEN k % 5 = 0 THEN NULL ELSE 'body' END",
-    lambda: D.parent(
-        _DOM, D.parent(_DOM, D.first(_DOM, D.link_starts("tel:")))
+    lambda dom, body: D.parent(
+        dom, D.parent(dom, D.first(dom, D.link_starts("tel:")))
     )["tag"],
 )
 _field(
     "block_ancestor",
     "CASE WHEN k % 5 <> 0 THEN 'phones' WHEN k % 4 IN (1, 2) THEN 'mails' END",
-    lambda: D.nearest_ancestor(
-        _DOM, D.first(_DOM, D.any_of(D.link_starts("tel:"), D.link_starts("mailto:"))), ["div", "li"], within=4
+    lambda dom, body: D.nearest_ancestor(
+        dom, D.first(dom, D.any_of(D.link_starts("tel:"), D.link_starts("mailto:"))), ["div", "li"], within=4
     )["classes"],
 )
 _field(
     "following_element",
     _PLACE,
-    lambda: D.text_of(_BODY, D.following(_DOM, D.first(_DOM, D.tag_in(["ul"])))),
+    lambda dom, body: D.text_of(body, D.following(dom, D.first(dom, D.tag_in(["ul"])))),
 )
 _field(
     "next_page_flag",
     "k % 6 IN (0, 2, 4)",
-    lambda: Q.has_next_page(_DOM, _BODY),
+    lambda dom, body: Q.has_next_page(dom, body),
 )
 _field(
     "bio_block",
     "'About' || chr(10) || bio",
-    lambda: X.labelled_block(_DOM, _BODY, BIO_LABELS),
+    lambda dom, body: X.labelled_block(dom, body, BIO_LABELS),
 )
 _field(
     "prefix_word",
-    f"""CASE WHEN k % 3 = 0 THEN 'Overview' WHEN k % 13 = 0 THEN 'Real Estate Holdings'
-        ELSE seg || ' Holdings' END""",
-    lambda: X.prefix_word_text(_DOM, _BODY),
+    _PREFIXED,
+    lambda dom, body: X.prefix_word_text(dom, body),
 )
 
 
@@ -241,27 +245,26 @@ _COMPANY_A = f"""CASE WHEN k % 11 <> 0 AND k % 4 = 1 THEN tagline
     WHEN k % 11 = 0 AND k % 5 IN (1, 3, 4) THEN phones
     WHEN k % 3 = 0 THEN {_LIKE_PHONES} ELSE holding END"""
 _COMPANY_B = f"CASE WHEN k % 3 = 1 THEN seg || ' LLC' ELSE {_SIBLING} END"
-_COMPANY_C = f"CASE WHEN k % 3 = 0 THEN 'Overview' ELSE holding END"
 _COMPANY_D = "CASE WHEN k % 13 = 0 THEN 'Company' ELSE holding END"
 
-_field("email_mailto", _MAIL_A, lambda: X.mailto_email(_DOM))
-_field("email_link_or_text", _MAIL_B, lambda: X.email_link_or_text(_DOM, _BODY))
-_field("email_link_or_written_out", _MAIL_C, lambda: X.email_link_or_written_out(_DOM, _BODY))
-_field("phone_tel", _TEL, lambda: X.tel_phone(_DOM, _BODY))
+_field("email_mailto", _MAIL_A, lambda dom, body: X.mailto_email(dom))
+_field("email_link_or_text", _MAIL_B, lambda dom, body: X.email_link_or_text(dom, body))
+_field("email_link_or_written_out", _MAIL_C, lambda dom, body: X.email_link_or_written_out(dom, body))
+_field("phone_tel", _TEL, lambda dom, body: X.tel_phone(dom, body))
 _field(
     "phone_tel_header",
     _TEL_C,
-    lambda: X.phone_from_links(_DOM, _BODY, [HEADER_PHONE_C]),
+    lambda dom, body: X.phone_from_links(dom, body, [HEADER_PHONE_C]),
 )
-_field("name_chain", f"coalesce({_H1}, {_H2}, 'About')", lambda: X.name_h1_first(_DOM, _BODY))
-_field("company_after_heading", _COMPANY_A, lambda: X.company_after_heading(_DOM, _BODY))
-_field("company_h2_or_label", _COMPANY_B, lambda: X.company_h2_or_label(_DOM, _BODY))
-_field("company_by_icon", _COMPANY_C, lambda: X.company_by_icon(_DOM, _BODY))
-_field("company_near_location", _COMPANY_D, lambda: X.company_near_location(_DOM, _BODY))
+_field("name_chain", f"coalesce({_H1}, {_H2}, 'About')", lambda dom, body: X.name_h1_first(dom, body))
+_field("company_after_heading", _COMPANY_A, lambda dom, body: X.company_after_heading(dom, body))
+_field("company_h2_or_label", _COMPANY_B, lambda dom, body: X.company_h2_or_label(dom, body))
+_field("company_by_icon", _PREFIXED, lambda dom, body: X.company_by_icon(dom, body))
+_field("company_near_location", _COMPANY_D, lambda dom, body: X.company_near_location(dom, body))
 _field(
     "location_from_pin",
     "CASE WHEN city = 'MIAMI BEACH' THEN 'Miami Beach' WHEN city = 'WINSTON-SALEM' THEN 'Winston-Salem' ELSE city END || ', ' || st_code",
-    lambda: X.location_from_pin(_DOM, _BODY, source_d(HOST).location),
+    lambda dom, body: X.location_from_pin(dom, body, source_d(HOST).location),
 )
 
 
@@ -272,7 +275,7 @@ _field(
 def _(spark, sf_dir):
     return _parsed(spark, sf_dir).select(
         "page_id",
-        X.location_from_labels(_DOM, _BODY, SOURCE_A.location, ADDRESS_LABELS).alias("location"),
+        X.location_from_labels(F.col("dom"), F.col("body_text"), SOURCE_A.location, ADDRESS_LABELS).alias("location"),
     )
 
 
@@ -288,7 +291,7 @@ def _(spark, sf_dir):
     pages = view(spark, sf_dir, "fx_people").select(F.col("k").alias("page_id"), html.alias("html"))
     return parse_pages(pages).select(
         "page_id",
-        X.location_from_labels(_DOM, _BODY, SOURCE_A.location, ADDRESS_LABELS).alias("location"),
+        X.location_from_labels(F.col("dom"), F.col("body_text"), SOURCE_A.location, ADDRESS_LABELS).alias("location"),
     )
 
 
@@ -297,7 +300,7 @@ def _(spark, sf_dir):
 
 def _with_listings(spark, sf_dir):
     return _parsed(spark, sf_dir, "fx_listing_pages").withColumn(
-        "listings", in_listing_order(L.page_listings(_DOM, _BODY))
+        "listings", in_listing_order(L.page_listings(F.col("dom"), F.col("body_text")))
     )
 
 
@@ -348,7 +351,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return _with_listings(spark, sf_dir).select(
-        "page_id", combined_text(_BODY, F.col("listings")).alias("combined")
+        "page_id", combined_text(F.col("body_text"), F.col("listings")).alias("combined")
     )
 
 
@@ -367,7 +370,7 @@ def _source_sql(name, phone, location, company, email, where, notes):
     return f"""SELECT k AS page_id, {_na(name)} AS full_name, {_na(phone)} AS phone_number,
           {_na(f"CASE WHEN length(loc) <= 80 THEN loc END")} AS location, {_na(company)} AS company, {_na(email)} AS email,
           p.url AS source_url, {notes} AS notes
-        FROM {{fx_blocks}} b JOIN (SELECT page_id, url, {location} AS loc FROM (
+        FROM {{fx_blocks}} b JOIN (SELECT page_id, url, shown, {location} AS loc FROM (
           SELECT page_id, url, {S.visible('html')} AS shown FROM {{fx_profiles}}) v) p ON p.page_id = k WHERE {where}"""
 
 
@@ -383,13 +386,20 @@ def _(spark, sf_dir):
     return _contact_columns(extract_contacts(view(spark, sf_dir, "fx_profiles"), SOURCE_A))
 
 
+_TEXT_PHONE = S.trim(f"regexp_extract(p.shown, '{S.PHONE}')")
+
+
 @query(
     "source_b",
     _source_sql(
-        _H1, f"coalesce({_TEL}, '')", S.location_b("shown"), _COMPANY_B, _MAIL_B, "k % 3 <> 1", _WASH
-    ).replace("coalesce(coalesce(" + _TEL + ", ''), 'N/A')",
-              f"coalesce({_TEL}, nullif({S.trim(f'''regexp_extract(p.shown, '{S.PHONE}')''')}, ''), 'N/A')")
-    .replace("SELECT page_id, url, ", "SELECT page_id, url, shown, ", 1),
+        _H1,
+        f"coalesce({_TEL}, nullif({_TEXT_PHONE}, ''))",
+        S.location_b("shown"),
+        _COMPANY_B,
+        _MAIL_B,
+        "k % 3 <> 1",
+        _WASH,
+    ),
 )
 def _(spark, sf_dir):
     return _contact_columns(extract_contacts(view(spark, sf_dir, "fx_profiles"), SOURCE_B))

@@ -41,7 +41,6 @@ from contactmine.operators.matching import keyword_join, keyword_lists, keyword_
 from contactmine.plans.profiles import SOURCE_A, SOURCE_B
 
 WORDS = ["free", "licen", "ation", "Contact", "the ring"]
-_T = F.col("text")
 
 
 def _documents(spark, sf_dir):
@@ -66,7 +65,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return _documents(spark, sf_dir).select(
-        "doc_id", F.posexplode(text_lines(_T)).alias("pos", "line")
+        "doc_id", F.posexplode(text_lines(F.col("text"))).alias("pos", "line")
     )
 
 
@@ -75,7 +74,7 @@ def _(spark, sf_dir):
     f"SELECT doc_id, {S.squeeze('text')} AS squeezed FROM {{documents}}",
 )
 def _(spark, sf_dir):
-    return _documents(spark, sf_dir).select("doc_id", squeeze_ws(_T).alias("squeezed"))
+    return _documents(spark, sf_dir).select("doc_id", squeeze_ws(F.col("text")).alias("squeezed"))
 
 
 @query(
@@ -96,7 +95,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", keyword_note(keyword_hits(_T, WORDS)).alias("notes")
+        "conv_id", "turn", keyword_note(keyword_hits(F.col("text"), WORDS)).alias("notes")
     )
 
 
@@ -156,7 +155,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     return (
         _documents(spark, sf_dir)
-        .withColumn("email", first_email(_T))
+        .withColumn("email", first_email(F.col("text")))
         .filter(F.col("email").isNotNull())
         .drop("text")
     )
@@ -177,14 +176,14 @@ def _(spark, sf_dir):
     texts = _documents(spark, sf_dir).select(
         "doc_id",
         F.concat(
-            _T, F.lit(f" {_BLOCKED_EMAIL.lower()} d"), F.col("doc_id").cast("string"),
+            F.col("text"), F.lit(f" {_BLOCKED_EMAIL.lower()} d"), F.col("doc_id").cast("string"),
             F.lit("@example.com"),
         ).alias("text"),
     )
     return texts.select(
         "doc_id",
-        first_allowed_email(_T, [_BLOCKED_EMAIL]).alias("email"),
-        first_allowed_email(_T, [_BLOCKED_EMAIL], scan_all=True).alias("any_email"),
+        first_allowed_email(F.col("text"), [_BLOCKED_EMAIL]).alias("email"),
+        first_allowed_email(F.col("text"), [_BLOCKED_EMAIL], scan_all=True).alias("any_email"),
     )
 
 
@@ -211,8 +210,8 @@ def _(spark, sf_dir):
     people = view(spark, sf_dir, "fx_people").withColumn("text", text)
     return people.select(
         "k",
-        written_out_email(_T).alias("email"),
-        written_out_email(_T, ignore_case=True).alias("any_case"),
+        written_out_email(F.col("text")).alias("email"),
+        written_out_email(F.col("text"), ignore_case=True).alias("any_case"),
     )
 
 
@@ -224,7 +223,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     return (
         _documents(spark, sf_dir)
-        .withColumn("phone_number", first_phone(_T))
+        .withColumn("phone_number", first_phone(F.col("text")))
         .filter(F.col("phone_number").isNotNull())
         .drop("text")
     )
@@ -246,10 +245,10 @@ def _(spark, sf_dir):
         .when(F.col("doc_id") % 3 == 1, F.lit("8882730423 "))
         .otherwise(F.lit(""))
     )
-    texts = _documents(spark, sf_dir).withColumn("text", F.concat(lead, _T))
+    texts = _documents(spark, sf_dir).withColumn("text", F.concat(lead, F.col("text")))
     return texts.select(
         "doc_id",
-        text_or(first_allowed_phone(_T, ["8882730423"])).alias("phone_number"),
+        text_or(first_allowed_phone(F.col("text"), ["8882730423"])).alias("phone_number"),
     )
 
 
@@ -308,8 +307,8 @@ def _pass_sql(pattern, state, title=False):
 
 def _pass(run):
     def registered(spark, sf_dir):
-        texts = _places(spark, sf_dir).withColumn("text", squeeze_ws(_T))
-        return texts.select("id", run(_T).alias("location"))
+        texts = _places(spark, sf_dir).withColumn("text", squeeze_ws(F.col("text")))
+        return texts.select("id", run(F.col("text")).alias("location"))
 
     return registered
 
@@ -341,9 +340,9 @@ query("location_word_edge", _pass_sql(S.EDGE, "p.s"))(
           LEFT JOIN r ON r.id = t.id AND length(city) <= 50 GROUP BY t.id""",
 )
 def _(spark, sf_dir):
-    texts = _places(spark, sf_dir).withColumn("text", squeeze_ws(_T))
-    cutoff = F.floor(F.length(_T) * 0.75).cast("int")
-    return texts.select("id", city_state_code(_T, cutoff=cutoff).alias("location"))
+    texts = _places(spark, sf_dir).withColumn("text", squeeze_ws(F.col("text")))
+    cutoff = F.floor(F.length(F.col("text")) * 0.75).cast("int")
+    return texts.select("id", city_state_code(F.col("text"), cutoff=cutoff).alias("location"))
 
 
 @query(
@@ -352,7 +351,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return _places(spark, sf_dir).select(
-        "id", find_location(_T, SOURCE_A.location).alias("location")
+        "id", find_location(F.col("text"), SOURCE_A.location).alias("location")
     )
 
 
@@ -362,7 +361,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return _places(spark, sf_dir).select(
-        "id", find_location(_T, SOURCE_B.location).alias("location")
+        "id", find_location(F.col("text"), SOURCE_B.location).alias("location")
     )
 
 
@@ -430,6 +429,6 @@ _SKIP = "city state location address zip phone email @ logo image photo picture
 )
 def _(spark, sf_dir):
     lines = _documents(spark, sf_dir).select(
-        "doc_id", F.posexplode(text_lines(_T)).alias("pos", "line")
+        "doc_id", F.posexplode(text_lines(F.col("text"))).alias("pos", "line")
     )
     return lines.filter(is_company_candidate(F.col("line")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from contactmine.functions.locations import has_location
-from contactmine.functions.text import WS, text_lines, trim_ws
+from contactmine.functions.text import WS, let, text_array, text_lines, trim_ws
 
 # Words a company line must not hold.
 SKIP_WORDS = [
@@ -35,33 +35,33 @@ def is_company_like(text: Column) -> Column:
 def is_company_candidate(text: Column, word_boundary: bool = False) -> Column:
     """2-200 characters and no skip word; by substring unless ``word_boundary``."""
     lowered = F.lower(text)
-    skipped = F.lit(False)
-    for word in SKIP_WORDS:
-        if word_boundary and word.isalpha():
-            skipped = skipped | lowered.rlike(rf"(?<![\p{{L}}\p{{N}}_]){word}(?![\p{{L}}\p{{N}}_])")
-        else:
-            skipped = skipped | F.contains(lowered, F.lit(word))
+    if word_boundary:
+        names = "|".join(w for w in SKIP_WORDS if w.isalpha())
+        edge = r"[\p{L}\p{N}_]"
+        skipped = lowered.rlike(rf"(?<!{edge})(?:{names})(?!{edge})|@")
+    else:
+        skipped = F.exists(text_array(SKIP_WORDS), lambda w: F.contains(lowered, w))
     return F.length(text).between(2, 200) & ~skipped
 
 
 def company_heading(text: Column) -> Column:
     """A short heading that is none of the stock section headings."""
     lowered = F.lower(text)
-    stock = F.lit(False)
-    for phrase in STOCK_HEADINGS:
-        stock = stock | F.contains(lowered, F.lit(phrase))
+    stock = F.exists(text_array(STOCK_HEADINGS), lambda p: F.contains(lowered, p))
     return F.when((text != "") & (F.length(text) < 200) & ~stock, text)
 
 
 def line_above_location(text: Column, word_boundary: bool = False) -> Column:
     """The line just above the first line with a city and state, if it may be a company."""
-    marked = F.transform(
-        text_lines(text),
-        lambda line: F.struct(line.alias("line"), has_location(line).alias("here")),
+
+    def above(lines: Column) -> Column:
+        at = F.array_position(F.transform(lines, has_location), True).cast("int")
+        return let(at, lambda i: F.when(i > 1, F.get(lines, i - 2)))
+
+    return let(
+        let(text_lines(text), above),
+        lambda line: F.when(is_company_candidate(line, word_boundary), line),
     )
-    at = F.array_position(F.transform(marked, lambda m: m["here"]), True).cast("int")
-    above = F.when(at > 1, F.get(marked, at - 2)["line"])
-    return F.when(is_company_candidate(above, word_boundary), above)
 
 
 def without_prefix_word(text: Column, prefixes: tuple[str, ...]) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from contactmine.functions.text import blank_to_null
+from contactmine.functions.text import blank_to_null, let, text_array
 from contactmine.schema import MISSING
 
 
@@ -24,6 +24,16 @@ def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
     return F.array_remove(F.array(*found), "")
 
 
+def keyword_hits_in_item(text: Column, keywords: Sequence[str]) -> Column:
+    """The same hits, for the items of an array, where no code is generated."""
+    return let(
+        F.lower(text),
+        lambda lowered: F.filter(
+            text_array(keywords), lambda kw: F.contains(lowered, F.lower(kw))
+        ),
+    )
+
+
 def may_hold_keyword(text: Column, keywords: Sequence[str]) -> Column:
     """True where every word of some keyword occurs somewhere in the text.
 

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from contactmine.functions.keywords import keyword_hits
-from contactmine.functions.text import WS, blank_to_null, let, title_case, trim_ws
+from contactmine.functions.keywords import keyword_hits_in_item
+from contactmine.functions.text import WS, blank_to_null, let, text_array, title_case, trim_ws
 
 # Property types, first hit in this order wins.
 PROPERTY_TYPES = [
@@ -46,21 +46,30 @@ LISTING_TYPE = (
 
 def property_type(text: Column) -> Column:
     """First listed type in the text, else ``Former X``, else an empty text."""
-    lowered = F.lower(text)
-    branches = F
-    for phrase in PROPERTY_TYPES:
-        branches = branches.when(
-            F.contains(lowered, F.lit(phrase)), F.lit(phrase.title())
+    def read(lowered: Column) -> Column:
+        listed = F.filter(
+            text_array(PROPERTY_TYPES), lambda phrase: F.contains(lowered, phrase)
+        )
+        word = F.regexp_extract(lowered, rf"(?:^|[{WS}])former[{WS}]+([^{WS}]+)", 1)
+        former = let(
+            word, lambda w: F.when(w != "", F.concat(F.lit("Former "), title_case(w)))
+        )
+        return F.coalesce(
+            title_case(F.get(listed, F.lit(0))),
+            F.when(F.contains(lowered, F.lit("former")), former),
+            F.lit(""),
         )
-    after = F.regexp_extract(lowered, rf"(?:^|[{WS}])former[{WS}]+([^{WS}]+)", 1)
-    former = F.when(after != "", F.concat(F.lit("Former "), title_case(after)))
-    return branches.otherwise(F.coalesce(former, F.lit("")))
+
+    return let(F.lower(text), read)
 
 
 def listing_type(text: Column, label: Column) -> Column:
     """Type found in the text, else the listing's own label, else an empty text."""
-    return F.coalesce(
-        F.nullif(property_type(text), F.lit("")), trim_ws(label), F.lit("")
+    return let(
+        property_type(text),
+        lambda found: F.when(found != "", found).otherwise(
+            F.coalesce(trim_ws(label), F.lit(""))
+        ),
     )
 
 
@@ -80,7 +89,7 @@ def matched_type(type_: Column, title: Column, description: Column) -> Column:
     """What to call a matching listing: its type, its title's, its description's, or a fallback."""
 
     def filled(c: Column) -> Column:
-        return F.nullif(c, F.lit(""))
+        return let(c, lambda x: F.when(x != "", x))
 
     from_title = F.when(
         title != "",
@@ -94,15 +103,19 @@ def matched_type(type_: Column, title: Column, description: Column) -> Column:
 
 def in_listing_order(listings: Column) -> Column:
     """Active listings before sold ones, page order within each."""
-    active = F.filter(listings, lambda x: x["status"] == "Active")
-    sold = F.filter(listings, lambda x: x["status"] == "Sold")
-    return F.concat(active, sold)
+    return let(
+        listings,
+        lambda every: F.concat(
+            F.filter(every, lambda x: x["status"] == "Active"),
+            F.filter(every, lambda x: x["status"] == "Sold"),
+        ),
+    )
 
 
 def listing_hits(ordered: Column, keywords: Sequence[str]) -> Column:
     """Keywords over all listings, first seen first, no repeats."""
     return F.array_distinct(
-        F.flatten(F.transform(ordered, lambda x: keyword_hits(x["full_text"], keywords)))
+        F.flatten(F.transform(ordered, lambda x: keyword_hits_in_item(x["full_text"], keywords)))
     )
 
 
@@ -110,7 +123,7 @@ def first_match(ordered: Column, keywords: Sequence[str]) -> Column:
     """``struct<matched_type, match_source>`` of the first listing with a keyword."""
     hit = F.get(
         F.filter(
-            ordered, lambda x: F.size(keyword_hits(x["full_text"], keywords)) > 0
+            ordered, lambda x: F.size(keyword_hits_in_item(x["full_text"], keywords)) > 0
         ),
         F.lit(0),
     )

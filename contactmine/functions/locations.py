@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from contactmine.functions.text import WS, let, squeeze_ws, title_if_upper, trim_ws
+from contactmine.functions.text import WS, let, squeeze_ws, text_array, title_if_upper, trim_ws
 
 # State names and their abbreviations.
 STATES = {
@@ -82,7 +82,7 @@ class LocationRule:
 
 
 def state_map() -> Column:
-    return F.create_map(*[F.lit(x) for pair in sorted(STATES.items()) for x in pair])
+    return F.map_from_arrays(text_array(STATES.keys()), text_array(STATES.values()))
 
 
 def state_code(raw: Column, strict: bool = False) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
@@ -67,6 +67,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def text_array(items: Iterable[str]) -> Column:
+    """A literal array of texts, built in one call."""
+    quoted = [
+        "'" + item.replace("\\", "\\\\").replace("'", "\\'") + "'" for item in items
+    ]
+    return F.expr(f"array({', '.join(quoted)})").cast("array<string>")
+
+
 def trim_ws(col: Column) -> Column:
     """Strip all Unicode white space from both ends (SQL trim strips only spaces)."""
     return F.btrim(col, F.lit(WS_CHARS))

@@ -15,6 +15,9 @@ SETTINGS = {
     # Pages are wide rows: small Arrow batches keep Python workers' memory flat.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.session.timeZone": "UTC",
+    # Do not record a Python call site for each column expression: wide plans
+    # are then built in a fraction of the time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # The seen-URL state of a stream lives off-heap and on disk.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

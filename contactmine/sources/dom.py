@@ -9,15 +9,20 @@ run this only on pages that passed the keyword test.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from contactmine.functions.dom import text_of
 from contactmine.functions.text import BLOCK_TAGS, HIDDEN_TAGS
 
+# The parser travels with the job: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_TYPE = T.StructType(
     [
         T.StructField("node_id", T.IntegerType()),
