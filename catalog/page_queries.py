@@ -405,7 +405,18 @@ def _(spark, sf_dir):
     return _contact_columns(extract_contacts(view(spark, sf_dir, "fx_profiles"), SOURCE_B))
 
 
-@query("source_c")
+@query(
+    "source_c",
+    _source_sql(
+        _NAMES,
+        _TEL_C,
+        S.location_c("shown"),
+        _SIBLING,
+        _MAIL_C,
+        "k % 3 <> 1",
+        "CASE k % 3 WHEN 0 THEN 'Car Wash' ELSE 'Tunnel Wash' END",
+    ),
+)
 def _(spark, sf_dir):
     return _contact_columns(extract_contacts(view(spark, sf_dir, "fx_profiles"), SOURCE_C))
 
