@@ -39,12 +39,14 @@ def url_host(url: Column) -> Column:
     )
 
 
-def _fold_dots(path: Column) -> Column:
-    """Resolve ``.`` and ``..`` and drop empty inner segments of an absolute path."""
+def _fold_dots(path: Column, drop_empty: bool) -> Column:
+    """Resolve ``.`` and ``..`` and perhaps drop empty inner segments of a rooted path."""
     parts = F.split(path, "/")
-    kept = F.filter(
-        parts, lambda s, i: (s != "") | (i == 0) | (i == F.size(parts) - 1)
-    )
+    kept = parts
+    if drop_empty:
+        kept = F.filter(
+            parts, lambda s, i: (s != "") | (i == 0) | (i == F.size(parts) - 1)
+        )
     empty = F.array().cast("array<string>")
     folded = F.aggregate(
         kept,
@@ -61,7 +63,7 @@ def _fold_dots(path: Column) -> Column:
     ).otherwise(folded)
     joined = F.array_join(closed, "/")
     rooted = F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
-    messy = path.rlike(r"//|(^|/)\.{1,2}(/|$)")
+    messy = path.rlike(r"//|(^|/)\.{1,2}(/|$)" if drop_empty else r"(^|/)\.{1,2}(/|$)")
     return F.when(messy, rooted).otherwise(path)
 
 
@@ -77,14 +79,16 @@ def resolve_url(base: Column, href: Column) -> Column:
     )
     path = F.regexp_extract(href, r"^([^?#]*)", 1)
     tail = F.substr(href, F.length(path) + 1)
-    joined = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
+    folded = F.when(
+        path.startswith("/"), let(path, lambda p: _fold_dots(p, drop_empty=False))
+    ).otherwise(let(F.concat(folder, path), lambda p: _fold_dots(p, drop_empty=True)))
     return (
         F.when(href == "", base)
         .when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
         .when(href.startswith("#"), F.concat(no_fragment, href))
         .when(href.startswith("?"), F.concat(no_query, href))
-        .otherwise(F.concat(root, let(joined, _fold_dots), tail))
+        .otherwise(F.concat(root, folded, tail))
     )
 
 
