@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _BITS = 12
 
 
-def _before(df: DataFrame, keys: Sequence[str], within: str, by: str, out: str) -> DataFrame:
-    """Sum of ``_v`` over the earlier rows of the same ``within`` block."""
+def _before(df: DataFrame, block: Sequence[str], by: str, out: str) -> DataFrame:
+    """Sum of ``_v`` over the earlier rows of the same block."""
     window = (
-        Window.partitionBy(*keys, within)
+        Window.partitionBy(*block)
         .orderBy(by)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -40,10 +40,12 @@ def running_sum(
     small = rows.groupBy(*keys, "_b2", "_b1").agg(F.sum("_v").alias("_v"))
     large = small.groupBy(*keys, "_b2").agg(F.sum("_v").alias("_v"))
     large = large.withColumn("_b3", F.shiftright("_b2", _BITS))
-    huge = large.groupBy(*keys, "_b3").agg(F.sum("_v").alias("_v")).withColumn("_top", F.lit(0))
-    huge = _before(huge, keys, "_top", "_b3", "_p3").drop("_v", "_top")
-    large = _before(large, keys, "_b3", "_b2", "_p2").drop("_v").join(huge, [*keys, "_b3"])
-    small = _before(small, keys, "_b2", "_b1", "_p1").drop("_v").join(
+    huge = large.groupBy(*keys, "_b3").agg(F.sum("_v").alias("_v"))
+    huge = _before(huge, keys, "_b3", "_p3").drop("_v")
+    large = _before(large, [*keys, "_b3"], "_b2", "_p2").drop("_v").join(
+        huge, [*keys, "_b3"]
+    )
+    small = _before(small, [*keys, "_b2"], "_b1", "_p1").drop("_v").join(
         large.drop("_b3"), [*keys, "_b2"]
     )
     within = (
