@@ -11,7 +11,10 @@ from contactmine.functions.listings import (
     matched_type,
     property_type,
 )
+from contactmine.functions.keywords import merge_hits
 from contactmine.functions.urls import (
+    PROFILE_URL_ASPX,
+    PROFILE_URL_NUMBERED,
     holds_none_of,
     is_profile_url,
     profile_url_slug,
@@ -22,6 +25,7 @@ from contactmine.functions.urls import (
 from contactmine.functions.phones import first_phone
 from contactmine.functions.emails import first_email
 from contactmine.operators import contacts as C, frontier as U, listings as L, reports as R
+from contactmine.operators.matching import with_hits
 from contactmine.plans.profiles import PROPERTY_KEYWORDS
 from contactmine.schema import CONTACT_FIELDS
 from contactmine.sources.pages import region_table, select_directory, select_regions, single_page
@@ -287,8 +291,6 @@ def _(spark, sf_dir):
         .when(F.col("k") % 3 == 1, F.concat(F.lit("https://h.example.com/brokers/ann-lee-"), sk, F.lit(".aspx")))
         .otherwise(F.concat(F.lit("https://h.example.com/profile/c"), sk))
     )
-    from contactmine.functions.urls import PROFILE_URL_ASPX, PROFILE_URL_NUMBERED
-
     return view(spark, sf_dir, "fx_people").select(
         "k",
         is_profile_url(url, PROFILE_URL_NUMBERED).alias("numbered"),
@@ -554,11 +556,7 @@ def _(spark, sf_dir):
     f"SELECT page_id, pos, matched_type FROM {_MATCHING}",
 )
 def _(spark, sf_dir):
-    from contactmine.functions.keywords import keyword_hits
-
-    rows = _listings(spark, sf_dir).filter(
-        F.size(keyword_hits(F.col("full_text"), _LISTING_KEYS)) > 0
-    )
+    rows = with_hits(_listings(spark, sf_dir), "full_text", _LISTING_KEYS)
     return rows.select(
         "page_id",
         "pos",
@@ -578,8 +576,6 @@ def _(spark, sf_dir):
           list_filter(string_split(hits, '; '), lambda k: k NOT IN ('slb', 'gear'))), '; ') AS hits FROM {_HIT_LISTS}""",
 )
 def _(spark, sf_dir):
-    from contactmine.functions.keywords import merge_hits
-
     lists = L.listing_keyword_lists(_listings(spark, sf_dir), _LISTING_KEYS)
     body = F.array(F.lit("slb"), F.lit("gear"))
     return lists.select("page_id", F.array_join(merge_hits(body, F.col("hits")), "; ").alias("hits"))

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contactmine.functions import dom as D
-from contactmine.functions.keywords import keyword_hits
 from contactmine.functions.listings import (
     LISTING_TYPE,
     SECTION_HEADINGS,
@@ -18,6 +17,7 @@ from contactmine.functions.listings import (
     status_order,
 )
 from contactmine.functions.text import let
+from contactmine.operators.matching import with_hits
 
 # What makes an element a listing card, and its parts.
 CARD_CLASSES = ["listing", "property"]
@@ -156,7 +156,7 @@ def first_listing_match(
     listings: DataFrame, keywords: Sequence[str], key: str = "page_id"
 ) -> DataFrame:
     """Per page, the first listing with a keyword: active before sold, then position."""
-    matching = listings.filter(F.size(keyword_hits(F.col("full_text"), keywords)) > 0)
+    matching = with_hits(listings, "full_text", keywords)
     candidate = F.struct(
         status_order(F.col("status")).alias("o"),
         "pos",
@@ -182,12 +182,11 @@ def listing_keyword_lists(
     Only the earliest sighting of each keyword travels, so a page's list is
     never longer than the keyword list.
     """
-    hits = keyword_hits(F.col("full_text"), keywords)
-    sightings = listings.select(
+    sightings = with_hits(listings, "full_text", keywords).select(
         key,
         status_order(F.col("status")).alias("o"),
         "pos",
-        F.posexplode(hits).alias("k", "kw"),
+        F.posexplode("hits").alias("k", "kw"),
     )
     earliest = sightings.groupBy(key, "kw").agg(F.min(F.struct("o", "pos", "k")).alias("at"))
     return earliest.groupBy(key).agg(

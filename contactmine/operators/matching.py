@@ -31,14 +31,8 @@ def with_hits(df: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
     )
 
 
-def _windows(texts: DataFrame, key: str, text: str, longest: int) -> DataFrame:
-    """Distinct stretches of text that start at each position, long enough for any keyword."""
-    stretches = F.regexp_extract_all(
-        F.lower(text), F.lit(rf"(?s)(?=(.{{1,{longest}}}))"), F.lit(1)
-    )
-    return texts.select(
-        F.col(key), F.explode(F.array_distinct(stretches)).alias("_stretch")
-    )
+# Up to this many different keyword beginnings are looked for while scanning.
+_SCAN_ANCHORS = 200
 
 
 def _anchored(keywords: DataFrame) -> DataFrame:
@@ -46,6 +40,34 @@ def _anchored(keywords: DataFrame) -> DataFrame:
     return lowered.withColumn("_anchor", F.left("_kw", F.lit(4)))
 
 
+def _any_of(words: Sequence[str]) -> str:
+    """A pattern for any of the words that compares each shared beginning once."""
+    if "" in words:
+        return ""
+    rests: dict[str, list[str]] = {}
+    for word in words:
+        rests.setdefault(word[0], []).append(word[1:])
+    branches = [
+        (c if c.isascii() and c.isalnum() else rf"\x{{{ord(c):x}}}") + _any_of(rest)
+        for c, rest in sorted(rests.items())
+    ]
+    return "(?:" + "|".join(branches) + ")"
+
+
+def _stretches(text: Column, longest: int, anchors: Sequence[str] | None) -> Column:
+    """Distinct stretches of text, long enough for any keyword, one per position.
+
+    With ``anchors``, only from the positions where a keyword may begin.
+    """
+    begin = ""
+    if anchors is not None:
+        begin = f"(?={_any_of(anchors)})"
+    found = F.regexp_extract_all(
+        F.lower(text), F.lit(rf"(?s){begin}(?=(.{{1,{longest}}}))"), F.lit(1)
+    )
+    return F.array_distinct(found)
+
+
 def _candidate_pairs(
     texts: DataFrame, keywords: DataFrame, key: str, text: str, how: str
 ) -> DataFrame:
@@ -55,24 +77,24 @@ def _candidate_pairs(
         F.collect_set(F.length("_anchor")).alias("sizes"),
     ).first()
     sizes = sorted(stats["sizes"]) or [1]
-    windows = _windows(texts, key, text, stats["longest"] or 1)
+    # Many keywords: every position is tried and the join does the selection.
+    few = anchored.select("_anchor").distinct().limit(_SCAN_ANCHORS + 1).collect()
+    anchors = [row["_anchor"] for row in few]
+    if len(anchors) > _SCAN_ANCHORS or not anchors:
+        anchors = None
+    stretches = _stretches(F.col(text), stats["longest"] or 1, anchors)
+    windows = texts.select(F.col(key), F.explode(stretches).alias("_stretch"))
     # One equality key for all keywords: the anchor of every size that occurs.
+    begins = F.array(*[F.left("_stretch", F.lit(n)) for n in sizes])
     windows = windows.select(
-        key,
-        "_stretch",
-        F.explode(
-            F.array_distinct(
-                F.array(*[F.left("_stretch", F.lit(n)) for n in sizes])
-            )
-        ).alias("_anchor"),
+        key, "_stretch", F.explode(F.array_distinct(begins)).alias("_anchor")
     )
-    matched = windows.join(
+    return windows.join(
         anchored,
         (windows["_anchor"] == anchored["_anchor"])
         & F.startswith(windows["_stretch"], anchored["_kw"]),
         how,
     )
-    return matched
 
 
 def keyword_join(
