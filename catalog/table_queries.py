@@ -479,6 +479,16 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "landed_directory",
+    """SELECT region, CAST(0 AS INT) AS region_ord, CAST(1 AS INT) AS page_num, url, html FROM {fx_directory}
+       WHERE url = 'https://h.example.com/state/household/'""",
+)
+def _(spark, sf_dir):
+    pages = view(spark, sf_dir, "fx_directory").select("page_id", "url", "html")
+    return U.landed_directory(pages, region_table(spark, _DIRECTORIES))
+
+
 @query(
     "single_page",
     "SELECT page_id, url, html FROM {pages} WHERE url = 'https://thther.example.org/en/685'",

@@ -142,6 +142,23 @@ def directory_pages(regions: DataFrame) -> DataFrame:
     )
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Ask for a broadcast only after counting; larger frames take the ordinary join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def landed_directory(pages: DataFrame, regions: DataFrame) -> DataFrame:
+    """The landed pages of the directories: ``region, region_ord, page_num, url, html``.
+
+    The page URLs are few rows, so the pages are not shuffled to find them.
+    """
+    order = regions.select("source", "region", "region_ord")
+    numbered = directory_pages(regions).join(order, ["source", "region"])
+    return pages.join(broadcast_if_small(numbered), "url").select(
+        "region", "region_ord", "page_num", "url", "html"
+    )
+
+
 def cap_per_group(
     rows: DataFrame, group: Sequence[str], n: int | None, order: tuple[str, str] = ("page_num", "pos")
 ) -> DataFrame:

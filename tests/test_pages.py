@@ -12,10 +12,12 @@ from contactmine.functions.locations import find_location
 from contactmine.functions.text import visible_text
 from contactmine.functions.urls import page_hrefs
 from contactmine.operators import quality as Q
+from contactmine.operators.frontier import landed_directory
 from contactmine.operators.listings import page_listings
 from contactmine.plans.contacts import clean_contacts, directory_cards, extract_contacts
 from contactmine.plans.profiles import ADDRESS_LABELS, BIO_LABELS, SOURCE_A, SOURCE_B, SOURCE_C, source_d
 from contactmine.sources.dom import nodes_table, parse_pages
+from contactmine.sources.pages import region_table, select_directory, select_regions
 from contactmine.streaming.contacts import rejected
 
 PROFILE = """<html><body><h1>Ann Lee</h1><p>Gulf Group</p><h2>Gulf Group LLC</h2>
@@ -213,6 +215,22 @@ def test_crawl_d_skips_top_links_and_redirects(spark):
     assert [(r.email, r.notes) for r in got] == [("ann1@example.com", "Active: Gas Station — keywords: gas station")]
 
 
+def test_directory_pages_are_found_without_shuffling_html(spark):
+    regions = region_table(spark, [("A", "FL", "https://h.example.com/fl", 1, 60), ("A", "NY", "https://h.example.com/ny/", 21, 1)])
+    landed = spark.createDataFrame(
+        [(f"https://h.example.com/{u}", u) for u in ("fl/", "fl/page-2/", "fl/page-61/", "ny/", "ny/page-21/")], "url string, html string"
+    )
+    got = landed_directory(landed, regions)
+    assert sorted((r.region, r.region_ord, r.page_num, r.html) for r in got.collect()) == [
+        ("FL", 0, 1, "fl/"), ("FL", 0, 2, "fl/page-2/"), ("NY", 1, 21, "ny/page-21/"),
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange hash" in line and "html" in line for line in plan.splitlines())
+    assert [r.region for r in select_regions(regions, ["NY"]).collect()] == ["NY"]
+    assert select_regions(regions).count() == 2
+    assert [r.start_page for r in select_directory(regions, "NY").collect()] == [21]
+
+
 def test_crawl_c_takes_names_from_cards(spark):
     card = "<li><h4>Card Name</h4><p>Card Group</p><a href='/x/1'>More details »</a></li>"
     directory = frontier_pages(spark, [("FL", 0, 1, "https://h.example.com/fl/", f"<ul>{card}{card}</ul>")])

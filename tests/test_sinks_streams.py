@@ -11,6 +11,7 @@ from contactmine.operators import contacts as C, reports as R
 from contactmine.plans.contacts import extract_contacts
 from contactmine.plans.profiles import SOURCE_B, SOURCE_C
 from contactmine.schema import CONTACT_FIELDS, OUTPUT_LABELS
+from contactmine.session import shared_dir
 from contactmine.sinks import tables as T
 from contactmine.sources.pages import read_pages, single_page, stream_pages
 from contactmine.streaming import contacts as ST
@@ -26,6 +27,10 @@ def contact_rows(spark, source="A", n=3):
     )
 
 
+def test_scratch_folder_is_the_sessions(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
 def test_csv_has_labels_and_header(spark, tmp_path):
     out = str(tmp_path / "csv")
     rows = contact_rows(spark).withColumn("company", F.lit('Gulf, "G" Group'))
