@@ -44,8 +44,8 @@ def email_from_mailto(href: Column, check_address: bool = False) -> Column:
 def first_email(text: Column, max_chars: int | None = None) -> Column:
     """First address in the text (or in its first ``max_chars`` characters)."""
     scope = text if max_chars is None else F.left(text, F.lit(max_chars))
-    found = F.regexp_extract(scope, _EMAIL_SCAN, 1)
-    return F.when(F.contains(scope, F.lit("@")), F.nullif(found, F.lit("")))
+    found = let(F.regexp_extract(scope, _EMAIL_SCAN, 1), lambda e: F.when(e != "", e))
+    return F.when(F.contains(scope, F.lit("@")), found)
 
 
 def first_allowed_email(

@@ -13,10 +13,12 @@ from contactmine.schema import MISSING
 def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
     """Keywords contained in the text, case-insensitively, in list order.
 
-    The sentinel text never matches. Only generated code here, no lambda: the
-    lower-cased text is then computed once and shared by all tests.
+    The sentinel text never matches. Only generated code here, no lambda and
+    no branch around the text: it is then lower-cased once for all tests.
     """
-    lowered = F.lower(F.nullif(text, F.lit(MISSING)))
+    if any(kw.lower() in MISSING.lower() for kw in keywords):
+        text = F.nullif(text, F.lit(MISSING))
+    lowered = F.lower(text)
     found = [
         F.when(F.contains(lowered, F.lit(kw.lower())), F.lit(kw)).otherwise(F.lit(""))
         for kw in keywords

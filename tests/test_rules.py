@@ -32,6 +32,11 @@ def test_keyword_notes(one, value, expected):
     assert one(made, t=value) == expected
 
 
+def test_sentinel_holds_no_keyword(one):
+    assert one(lambda: keywords.keyword_hits(col(), ["a", "n/a"]), t="N/A") == []
+    assert one(lambda: keywords.keyword_hits(col(), ["a", "n/a"]), t="n/a") == ["a", "n/a"]
+
+
 def test_keyword_hits_agree_inside_arrays(one):
     for value in ["Express Car Wash", "nothing", ""]:
         plain = one(lambda: keywords.keyword_hits(col(), WASH_KEYWORDS), t=value)
