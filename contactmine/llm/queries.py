@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from contactmine.llm.exact_dedup import exact_groups
+from contactmine.llm.line_dedup import drop_common_lines
+from contactmine.llm.packing import pack
 from contactmine.llm.scratch import documents
+from contactmine.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +45,41 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 )
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
+
+
+@_query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query(
+    "op9_line_dedup",
+    r"""
+    WITH d AS (
+      SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls
+      FROM documents),
+    l AS (SELECT doc_id, r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+    k AS (
+      SELECT doc_id, r, i, line, translate(
+        regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    common AS (
+      SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10)
+    SELECT doc_id, count(*) AS n_lines,
+           count(*) FILTER (c.key IS NOT NULL) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.key IS NULL), ''))
+             AS kept_sha256
+    FROM k LEFT JOIN common c USING (key) GROUP BY doc_id, r""",
+)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_common_lines(documents(spark, sf_dir).select("doc_id", "text")).selectExpr(
+        "doc_id",
+        "_n_lines AS n_lines",
+        "_n_dropped AS n_dropped",
+        "_kept_sha256 AS kept_sha256",
+    )
