@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contactmine.llm.exact_dedup import exact_groups
 from contactmine.llm.line_dedup import drop_common_lines
+from contactmine.llm.ngram_join import similar_groups
 from contactmine.llm.packing import pack
 from contactmine.llm.scratch import documents
 from contactmine.llm.token_counts import token_counts
@@ -83,3 +84,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_n_dropped AS n_dropped",
         "_kept_sha256 AS kept_sha256",
     )
+
+
+@_query("op10_ngram_join")
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(documents(spark, sf_dir))

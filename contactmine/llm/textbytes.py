@@ -105,7 +105,9 @@ class Texts:
         return starts, ends, np.concatenate([[0], np.cumsum(counts)])
 
 
-def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
+def slices(
+    column: pa.Array, most: int = SLICE_BYTES, most_rows: int = 1 << 16
+) -> Iterator[tuple[int, int, Texts]]:
     """Rows ``[low, high)`` of at most so many bytes (one text at least); null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -116,7 +118,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
     low = 0
     while low < len(column):
         high = int(np.searchsorted(offsets, offsets[low] + most, side="right")) - 1
-        high = min(max(high, low + 1), len(column))
+        high = min(max(high, low + 1), low + most_rows, len(column))
         first = offsets[low]
         yield low, high, Texts(data[first : offsets[high]], offsets[low : high + 1] - first)
         low = high
@@ -150,3 +152,24 @@ def window_starts(first: np.ndarray, length: int) -> np.ndarray:
     counts = np.maximum(np.diff(first) - length + 1, 0)
     base = np.repeat(first[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
     return base + np.arange(counts.sum())
+
+
+def shingles(part: Texts, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all word shingles, A-Z lower-cased, and the first of each text (and the end).
+
+    A text of fewer words is one shingle; a text without words has none.
+    """
+    starts, ends, first = part.words()
+    words = span_hashes(LOWER[part.data], starts, ends)
+    counts = np.diff(first)
+    many = np.where(counts >= length, counts - length + 1, np.minimum(counts, 1))
+    base = np.concatenate([[0], np.cumsum(many)])
+    at = np.repeat(first[:-1] - base[:-1], many) + np.arange(base[-1])
+    return span_hashes(words, at, np.minimum(at + length, np.repeat(first[1:], many))), base
+
+
+def distinct_sets(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct hashes in ascending order, and the first of each text (and the end)."""
+    own = [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+    sizes = np.fromiter(map(len, own), np.int64, len(own))
+    return (np.concatenate(own) if own else hashes), np.concatenate([[0], np.cumsum(sizes)])
