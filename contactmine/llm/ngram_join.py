@@ -26,7 +26,6 @@ exceeds the true one), then verified on the whole sets.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +40,8 @@ SKETCH_WORDS = 16  # 64 bits each
 SMALL = 8  # buckets of so many nodes give all pairs
 TRIM = 64  # in one slice, larger buckets send their smallest node only
 MOST_FREQUENT = 20_000  # shingles that are sorted last
-STAR_ROUNDS = 4
+STAR_ROUNDS = 5
+MOST_BROADCAST = 200_000  # rows of two numbers
 _PENDING = 1 << 21
 
 
@@ -342,45 +342,75 @@ def _allowed(apart: np.ndarray, total: np.ndarray, threshold: int) -> np.ndarray
     return apart * (100 + threshold) <= total * (100 - threshold)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, length: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) of nodes that are linked, by their whole sets."""
-    pairs = materialised(pairs)
-    needed = pairs.selectExpr("a AS node").union(pairs.selectExpr("b AS node")).distinct()
-    rows = needed.join(nodes, "node").selectExpr("doc_id AS _rep", "node")
-    texts = docs.join(rows, docs["doc_id"].eqNullSafe(rows["_rep"])).select("node", docs["text"])
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it is known to have few rows (of two longs or an id)."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
+class _Verifier:
+    """Tests pairs of nodes on their whole sets, which are read once per node."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, length: int, threshold: int):
+        self.docs, self.nodes = docs, nodes
+        self.length, self.threshold = length, threshold
+        self.sets: DataFrame | None = None  # node, features
+
+    def _fetch(self, pairs: DataFrame) -> None:
+        length = self.length
+        needed = pairs.selectExpr("a AS node").union(pairs.selectExpr("b AS node")).distinct()
+        if self.sets is not None:
+            needed = needed.join(self.sets.select("node"), "node", "left_anti")
+        rows = _small(
+            materialised(needed.join(self.nodes, "node").selectExpr("doc_id AS _rep", "node"))
+        )
+        texts = self.docs.join(rows, self.docs["doc_id"].eqNullSafe(rows["_rep"]))
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for low, _, part in slices(batch.column(1)):
+                    hashes, first = distinct_sets(*shingles(part, length))
+                    own = _nodes(hashes, first)
+                    asked = batch.column(0).slice(low, len(part)).to_numpy()
+                    rows = np.flatnonzero(own == asked)  # another row may share the id
+                    yield pa.record_batch(
+                        [
+                            pa.array(asked[rows]),
+                            pa.array([hashes[first[r] : first[r + 1]].tobytes() for r in rows], pa.binary()),
+                        ],
+                        ["node", "features"],
+                    )
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low, _, part in slices(batch.column(1)):
-                hashes, first = distinct_sets(*shingles(part, length))
-                own = _nodes(hashes, first)
-                asked = batch.column(0).slice(low, len(part)).to_numpy()
-                rows = np.flatnonzero(own == asked)  # another row may share the id
+        sets = texts.select("node", self.docs["text"]).mapInArrow(whole, "node long, features binary")
+        sets = materialised(sets)
+        self.sets = sets if self.sets is None else self.sets.union(sets)
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are linked."""
+        threshold = self.threshold
+        pairs = materialised(pairs)
+        self._fetch(pairs)
+        asked = _small(pairs)
+        sides = [
+            self.sets.selectExpr(f"node AS {side}", f"features AS f{side}").join(asked, side)
+            for side in "ab"
+        ]
+        joined = sides[0].join(sides[1], ["a", "b"])
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                linked = np.zeros(batch.num_rows, bool)
+                for row in range(batch.num_rows):
+                    a, b = (np.frombuffer(batch.column(k)[row].as_py(), U64) for k in (2, 3))
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    linked[row] = 100 * both >= threshold * (len(a) + len(b) - both)
+                keep = pa.array(linked)
                 yield pa.record_batch(
-                    [
-                        pa.array(asked[rows]),
-                        pa.array([hashes[first[r] : first[r + 1]].tobytes() for r in rows], pa.binary()),
-                    ],
-                    ["node", "features"],
+                    [batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"]
                 )
 
-    sets = texts.mapInArrow(whole, "node long, features binary").dropDuplicates(["node"])
-    sets = materialised(sets)
-    joined = pairs.join(sets.selectExpr("node AS a", "features AS fa"), "a").join(
-        sets.selectExpr("node AS b", "features AS fb"), "b"
-    )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = np.zeros(batch.num_rows, bool)
-            for row in range(batch.num_rows):
-                a, b = (np.frombuffer(batch.column(k)[row].as_py(), U64) for k in (2, 3))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                linked[row] = 100 * both >= threshold * (len(a) + len(b) - both)
-            keep = pa.array(linked)
-            yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-    return materialised(joined.select("a", "b", "fa", "fb").mapInArrow(compare, "a long, b long"))
+        return materialised(
+            joined.select("a", "b", "fa", "fb").mapInArrow(compare, "a long, b long")
+        )
 
 
 def _crossing(rows: DataFrame, threshold: int) -> DataFrame:
@@ -479,32 +509,43 @@ def similar_groups(
         .selectExpr("least(node, leader) AS a", "greatest(node, leader) AS b")
         .distinct()
     )
-    links = []
-    labels = None
-    for round_ in range(STAR_ROUNDS + 1):
-        if round_:
-            # Large buckets of several components: stars around a leader per component pair.
-            named = large.select("sig", "node").join(labels, "node", "left") if labels else large
-            named = named.select("sig", "node", F.coalesce("component", "node").alias("component"))
-            spans = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            large = materialised(named.join(spans.where("lo <> hi"), "sig").select("sig", "node", "component"))
-            if large.isEmpty():
-                break
-            if round_ == STAR_ROUNDS:
-                pairs = _crossing(large.join(nodes, "node"), threshold)
-            else:
-                turn = F.xxhash64("node", F.lit(round_))
-                heads = large.groupBy("sig").agg(F.min_by("node", turn).alias("leader"))
-                heads = large.drop("component").join(heads, "sig")
-        else:
-            heads = large
-        if round_ < STAR_ROUNDS:
-            top = heads.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("c"))
-            top = top.groupBy("node").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
-            stars = top.selectExpr("least(node, leader) AS a", "greatest(node, leader) AS b")
-            pairs = pairs.union(stars).distinct() if not round_ else stars.distinct()
-        links.append(_verified(_close_sketches(pairs, nodes, threshold), nodes, docs, length, threshold))
-        labels = materialised(components(reduce(DataFrame.union, links)))
+    verifier = _Verifier(docs, nodes, length, threshold)
+
+    def stars(heads: DataFrame) -> DataFrame:
+        """(node, leader) for the leader a node shares most buckets with."""
+        top = heads.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("c"))
+        top = top.groupBy("node").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
+        return top.selectExpr("least(node, leader) AS a", "greatest(node, leader) AS b").distinct()
+
+    pairs = pairs.union(stars(large)).distinct()
+    links = verifier.linked(_close_sketches(pairs, nodes, threshold))
+    labels = materialised(components(links))
+    large = large.select("sig", "node")
+    star_rounds = 0
+    while True:
+        # Large buckets whose nodes are not one component yet.
+        named = large.select("sig", "node").join(labels, "node", "left")
+        named = named.select("sig", "node", F.coalesce("component", "node").alias("component"))
+        spans = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        large = materialised(named.join(spans.where("lo <> hi").select("sig"), "sig"))
+        if large.isEmpty():
+            break
+        star_rounds += 1
+        new = None
+        if star_rounds <= STAR_ROUNDS:
+            turn = F.xxhash64("node", F.lit(star_rounds))
+            heads = large.groupBy("sig").agg(
+                F.min_by("node", turn).alias("leader"), F.min_by("component", turn).alias("other")
+            )
+            heads = large.join(heads, "sig").where("component <> other")
+            new = verifier.linked(_close_sketches(stars(heads), nodes, threshold))
+        if new is None or new.isEmpty():
+            new = verifier.linked(_crossing(large.join(nodes, "node"), threshold))
+            star_rounds = None
+        links = links.union(new)
+        labels = materialised(components(links))
+        if star_rounds is None:
+            break
     by_node = nodes.select("node", F.col("doc_id").alias("rep"))
     named = by_node.join(labels, "node", "left")
     smallest = named.groupBy(F.coalesce("component", "node").alias("component")).agg(
