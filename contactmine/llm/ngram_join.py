@@ -318,7 +318,7 @@ def buckets(
 
 
 def _close_sketches(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) whose sketches allow a link."""
+    """Pairs (a, b, c) whose sketches allow a link."""
     left = nodes.selectExpr("node AS a", "n AS an", "sketch AS asketch")
     right = nodes.selectExpr("node AS b", "n AS bn", "sketch AS bsketch")
     joined = pairs.join(left, "a").join(right, "b")
@@ -332,9 +332,11 @@ def _close_sketches(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataF
             total = batch.column("an").to_numpy() + batch.column("bn").to_numpy()
             apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
             ok = pa.array(_allowed(apart, total, threshold))
-            yield pa.record_batch([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
+            yield pa.record_batch([batch.column(c).filter(ok) for c in ("a", "b", "c")], ["a", "b", "c"])
 
-    return joined.select("a", "b", "an", "bn", "asketch", "bsketch").mapInArrow(test, "a long, b long")
+    return joined.select("a", "b", "c", "an", "bn", "asketch", "bsketch").mapInArrow(
+        test, "a long, b long, c long"
+    )
 
 
 def _allowed(apart: np.ndarray, total: np.ndarray, threshold: int) -> np.ndarray:
@@ -504,21 +506,29 @@ def similar_groups(
     )
     found = materialised(buckets(docs, length, frequent, shards_for(docs), differ, overlap))
     large = found.where("sig IS NOT NULL")
-    pairs = (
-        found.where("sig IS NULL")
-        .selectExpr("least(node, leader) AS a", "greatest(node, leader) AS b")
-        .distinct()
-    )
     verifier = _Verifier(docs, nodes, length, threshold)
 
-    def stars(heads: DataFrame) -> DataFrame:
-        """(node, leader) for the leader a node shares most buckets with."""
-        top = heads.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("c"))
-        top = top.groupBy("node").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
-        return top.selectExpr("least(node, leader) AS a", "greatest(node, leader) AS b").distinct()
+    def plausible(heads: DataFrame) -> DataFrame:
+        """(a, b) of nodes and leaders, and c, how often they met."""
+        met = heads.selectExpr("least(node, leader) AS a", "greatest(node, leader) AS b")
+        met = met.where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+        return materialised(_close_sketches(met, nodes, threshold))
 
-    pairs = pairs.union(stars(large)).distinct()
-    links = verifier.linked(_close_sketches(pairs, nodes, threshold))
+    def stars(pairs: DataFrame) -> DataFrame:
+        """One pair per node: with the smaller node it met most often."""
+        return pairs.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b")
+
+    # One pair per node first; of the others only those between components.
+    pairs = plausible(found)
+    first = stars(pairs)
+    links = verifier.linked(first)
+    labels = materialised(components(links))
+    rest = pairs.select("a", "b")
+    for side in "ab":
+        label = labels.selectExpr(f"node AS {side}", f"component AS {side}c")
+        rest = rest.join(label, side, "left")
+    rest = rest.where("ac IS NULL OR bc IS NULL OR ac <> bc").select("a", "b")
+    links = links.union(verifier.linked(rest.join(first, ["a", "b"], "left_anti")))
     labels = materialised(components(links))
     large = large.select("sig", "node")
     star_rounds = 0
@@ -538,7 +548,7 @@ def similar_groups(
                 F.min_by("node", turn).alias("leader"), F.min_by("component", turn).alias("other")
             )
             heads = large.join(heads, "sig").where("component <> other")
-            new = verifier.linked(_close_sketches(stars(heads), nodes, threshold))
+            new = verifier.linked(stars(plausible(heads)))
         if new is None or new.isEmpty():
             new = verifier.linked(_crossing(large.join(nodes, "node"), threshold))
             star_rounds = None
