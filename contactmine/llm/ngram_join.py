@@ -36,7 +36,7 @@ from contactmine.llm.scratch import materialised, shards_for
 from contactmine.llm.textbytes import U64, distinct_sets, mix, shingles, slices
 
 BAND = 4
-SKETCH_WORDS = 16  # 64 bits each
+LEAST_BITS = 512
 SMALL = 8  # buckets of so many nodes give all pairs
 TRIM = 64  # in one slice, larger buckets send their smallest node only
 MOST_FREQUENT = 20_000  # shingles that are sorted last
@@ -45,14 +45,31 @@ MOST_BROADCAST = 200_000  # rows of two numbers
 _PENDING = 1 << 21
 
 
-def _sketch(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Bit i is the parity of the features that fall on it: |A xor B| >= distance."""
-    bits = 64 * SKETCH_WORDS
-    place = (mix(hashes ^ U64(0x5BD1E995)) % U64(bits)).astype(np.int64)
-    rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    odd = np.zeros((len(first) - 1, bits), np.uint8)
-    np.bitwise_xor.at(odd, (rows, place), 1)
-    return np.packbits(odd, axis=1)
+def _sketches(hashes: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Bits of each set; bit i is the parity of the features that fall on it.
+
+    So the bits of two sets differ in no more places than the sets. There are two
+    to four bits a feature, a power of two: folding the halves of a sketch onto
+    each other gives the sketch of half the width.
+    """
+    sizes = np.diff(first)
+    width = 2 ** np.ceil(np.log2(np.maximum(2 * sizes, LEAST_BITS))).astype(np.int64)
+    base = np.concatenate([[0], np.cumsum(width)])
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    place = (mix(hashes ^ U64(0x5BD1E995)) & (width[rows] - 1).astype(U64)).astype(np.int64)
+    odd = np.bincount(base[rows] + place, minlength=base[-1]) & 1
+    body = np.packbits(odd.astype(np.uint8))
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(sizes), [None, pa.py_buffer(base // 8), pa.py_buffer(body)]
+    ).cast(pa.binary())
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) at a smaller width."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
 
 
 def _nodes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -74,15 +91,12 @@ def set_table(docs: DataFrame, length: int) -> DataFrame:
             for low, high, part in slices(batch.column(1)):
                 hashes, first = distinct_sets(*shingles(part, length))
                 names = ["doc_id", "n", "node", "sketch"]
-                sketch = _sketch(hashes, first)
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(low, high - low),
                         pa.array(np.diff(first)),
                         pa.array(_nodes(hashes, first)),
-                        pa.Array.from_buffers(
-                            pa.binary(sketch.shape[1]), len(sketch), [None, pa.py_buffer(sketch.tobytes())]
-                        ).cast(pa.binary()),
+                        _sketches(hashes, first),
                     ],
                     names,
                 )
@@ -325,12 +339,13 @@ def _close_sketches(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataF
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), U64).reshape(-1, SKETCH_WORDS)
-                for c in ("asketch", "bsketch")
-            )
+            apart = np.zeros(batch.num_rows, np.int64)
+            sides = (batch.column(c).to_pylist() for c in ("asketch", "bsketch"))
+            for row, (a, b) in enumerate(zip(*sides, strict=True)):
+                a, b = np.frombuffer(a, U64), np.frombuffer(b, U64)
+                width = min(len(a), len(b))
+                apart[row] = np.bitwise_count(_folded(a, width) ^ _folded(b, width)).sum()
             total = batch.column("an").to_numpy() + batch.column("bn").to_numpy()
-            apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
             ok = pa.array(_allowed(apart, total, threshold))
             yield pa.record_batch([batch.column(c).filter(ok) for c in ("a", "b", "c")], ["a", "b", "c"])
 
@@ -419,36 +434,40 @@ def _crossing(rows: DataFrame, threshold: int) -> DataFrame:
     """Pairs of a bucket's nodes in different components whose sketches allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def bucket(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-            node, component, n, bits = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(n, kind="stable")
-            node, component, n, bits = node[order], component[order], n[order], bits[order]
-            end = np.searchsorted(n, n * 100 // threshold, side="right")
-            for i in range(len(node)):
-                other = slice(i + 1, end[i])
-                differs = np.flatnonzero(component[other] != component[i]) + i + 1
-                if len(differs):
+        def bucket(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            node, component, n = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:3])
+            words = np.array([len(r[3]) // 8 for r in rows])
+            # Linked sets differ in size by a third at most: in width by one step.
+            for width in np.unique(words).tolist():
+                own = np.flatnonzero(words == width)
+                wide = np.flatnonzero(words == 2 * width)
+                at = np.concatenate([own, wide])
+                bits = [np.frombuffer(b"".join(rows[k][3] for k in x), U64) for x in (own, wide)]
+                bits = np.concatenate(
+                    [bits[0].reshape(-1, width), _folded(bits[1].reshape(-1, 2 * width), width)]
+                )
+                for i in range(len(own)):
+                    differs = np.flatnonzero(component[at[i + 1 :]] != component[own[i]]) + i + 1
+                    near = np.abs(n[at[differs]] - n[own[i]]) * 100 <= (100 - threshold) * np.maximum(
+                        n[at[differs]], n[own[i]]
+                    )
+                    differs = differs[near]
                     apart = np.bitwise_count(bits[differs] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                    hit = differs[_allowed(apart, n[differs] + n[i], threshold)]
+                    hit = at[differs[_allowed(apart, n[at[differs]] + n[own[i]], threshold)]]
                     if len(hit):
-                        yield pa.record_batch(
-                            [np.minimum(node[i], node[hit]), np.maximum(node[i], node[hit])], ["a", "b"]
-                        )
+                        low, high = np.minimum(node[own[i]], node[hit]), np.maximum(node[own[i]], node[hit])
+                        yield pa.record_batch([low, high], ["a", "b"])
 
-        now, parts = None, []
+        now, rows = None, []
         for batch in batches:
-            sig = batch.column("sig").to_numpy()
-            bits = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), U64).reshape(-1, SKETCH_WORDS)
-            node, component, n = (batch.column(c).to_numpy() for c in ("node", "component", "n"))
-            cuts = np.flatnonzero(np.diff(sig, prepend=sig[:1] - 1))
-            for a, b in zip(cuts, [*cuts[1:], len(sig)], strict=True):
-                if sig[a] != now and parts:
-                    yield from bucket(parts)
-                    parts = []
-                now = sig[a]
-                parts.append((node[a:b], component[a:b], n[a:b], bits[a:b]))
-        if parts:
-            yield from bucket(parts)
+            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if row[0] != now and rows:
+                    yield from bucket(rows)
+                    rows = []
+                now = row[0]
+                rows.append(row[1:])
+        if rows:
+            yield from bucket(rows)
 
     return (
         rows.select("sig", "node", "component", "n", "sketch")
@@ -549,7 +568,10 @@ def similar_groups(
             )
             heads = large.join(heads, "sig").where("component <> other")
             new = verifier.linked(stars(plausible(heads)))
-        if new is None or new.isEmpty():
+        # Few new links: what is left are not copies of one text.
+        if new is None or new.count() * 50 < large.select("node").distinct().count():
+            if new is not None:
+                links = links.union(new)
             new = verifier.linked(_crossing(large.join(nodes, "node"), threshold))
             star_rounds = None
         links = links.union(new)
