@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from contactmine.llm.exact_dedup import exact_groups
+from contactmine.llm.language import identify_language, train, training_sample
 from contactmine.llm.line_dedup import drop_common_lines
+from contactmine.llm.mixing import mix_sources
 from contactmine.llm.ngram_join import similar_groups
 from contactmine.llm.packing import pack
+from contactmine.llm.quality import fit_quality, quality_verdicts
 from contactmine.llm.scratch import documents
 from contactmine.llm.token_counts import token_counts
 
@@ -89,3 +92,22 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_ngram_join")
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(documents(spark, sf_dir))
+
+
+@_query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_verdicts(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@_query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    sample = training_sample(docs)
+    texts, langs = (sample.column(c).to_pylist() for c in ("text", "lang"))
+    return identify_language(docs, train(texts, langs) if texts else None)
+
+
+@_query("op6_mix_sources")
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir)).drop("copies")

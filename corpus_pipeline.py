@@ -3,6 +3,8 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
 returns what its stage kept, with the columns of documents, the last one packed
 pieces. ``run`` applies them in order, writing each result to the shared folder.
+Null texts, repeated rows and extra columns pass as the operators say; a stage
+on an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -11,10 +13,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contactmine.llm.line_dedup import drop_common_lines
+from contactmine.llm.mixing import mix_sources
+from contactmine.llm.ngram_join import similar_groups
 from contactmine.llm.packing import pack
+from contactmine.llm.quality import fit_quality, quality_verdicts
 from contactmine.llm.scratch import documents, materialised
 
 
+def _decided(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """``docs`` with the columns of ``verdicts`` (one row per distinct ``_id``)."""
+    return docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["_id"])).drop("_id")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go. Rows of one id go or stay by their own text."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    columns = docs.columns
+    return quality_verdicts(docs, fit_quality(docs, labels), keep_columns=True).where("kept").select(*columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go; texts and lengths follow."""
     columns = docs.columns
@@ -29,16 +46,35 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.select(*columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id."""
+    groups = similar_groups(docs)
+    stay = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return _decided(docs, stay)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents come as many times as the mix takes them, some not at all."""
+    copies = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
+    columns = docs.columns
+    taken = _decided(docs, copies.dropDuplicates(["_id"]))
+    return taken.select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
+    ("ngram_join", near_duplicates),
+    ("source_mix", source_mix),
     ("packing", packing),
 ]
 
-# No SQL: the stages train a model, sample and tokenize.
+# No SQL: the stages fit trees, sample and tokenize.
 ORACLE_SQL = None
 
 
