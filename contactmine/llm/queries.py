@@ -15,6 +15,7 @@ from contactmine.llm.ngram_join import similar_groups
 from contactmine.llm.packing import pack
 from contactmine.llm.quality import fit_quality, quality_verdicts
 from contactmine.llm.scratch import documents
+from contactmine.llm.substring_dedup import drop_repeated_windows
 from contactmine.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +112,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_mix_sources")
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("copies")
+
+
+@_query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_windows(documents(spark, sf_dir)).drop("kept_text")
