@@ -14,6 +14,7 @@ from contactmine.llm.mixing import mix_sources
 from contactmine.llm.ngram_join import similar_groups
 from contactmine.llm.packing import pack
 from contactmine.llm.quality import fit_quality, quality_verdicts
+from contactmine.llm.sanitise import private_spans, span_columns
 from contactmine.llm.scratch import documents
 from contactmine.llm.substring_dedup import drop_repeated_windows
 from contactmine.llm.token_counts import token_counts
@@ -117,3 +118,9 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_substring_dedup")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_windows(documents(spark, sf_dir)).drop("kept_text")
+
+
+@_query("op2_sanitise")
+def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = private_spans(documents(spark, sf_dir))
+    return spans.select("doc_id", *[c.alias(name) for name, c in span_columns().items()])
