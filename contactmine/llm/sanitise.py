@@ -36,7 +36,6 @@ _WORD = r"[\p{L}\p{N}]+"
 SUPPORT = 5  # different lines in which term and entity must meet
 GENERALISE = 0.9  # share of the entity's information
 REMOVE = 0.97
-MOST_BROADCAST = 100_000  # terms
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -154,13 +153,10 @@ def disclosing_terms(
         .select("entity", "term", "both")
     )
     per_entity = mentions.groupBy("entity").agg(F.countDistinct("_key").alias("with_entity"))
-    wanted = joint.select("term").distinct()
     words = docs.select(
         F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(_WORD), F.lit(0)))).alias("term")
     )
-    few = wanted.count() <= MOST_BROADCAST
-    counted = words.join(F.broadcast(wanted), "term") if few else words
-    with_term = counted.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    with_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     total = docs.count()
     # Rows of one key are counted once in both; so never more than with_term.
     own = F.log(F.lit(float(max(total, 2))) / F.col("with_entity"))
