@@ -17,15 +17,16 @@ first n/4 + 1 single features, so that two such sets meet there.
 
 Sets that are equal are one node. Signatures travel packed, twelve bytes each,
 to their shard. Small buckets give all their pairs; a large bucket gives only
-stars around its smallest nodes, round after round with other leaders, until
-its members are one component; pairs across the components that remain are all
-compared. Pairs are first tested with bit sketches (whose distance never
+stars around its smallest nodes; then, round after round, each node tries the
+nearest node of another component that it has not tried, until its members are
+one component or no pair is left that could be linked. Pairs are first tested with bit sketches (whose distance never
 exceeds the true one), then verified on the whole sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ LEAST_BITS = 512
 SMALL = 8  # buckets of so many nodes give all pairs
 TRIM = 64  # in one slice, larger buckets send their smallest node only
 MOST_FREQUENT = 20_000  # shingles that are sorted last
-STAR_ROUNDS = 5
+STAR_ROUNDS = 2
 MOST_BROADCAST = 200_000  # rows of two numbers
 _PENDING = 1 << 21
 
@@ -430,37 +431,52 @@ class _Verifier:
         )
 
 
-def _crossing(rows: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of a bucket's nodes in different components whose sketches allow a link."""
+def _nearest(rows: DataFrame, threshold: int) -> DataFrame:
+    """For each node of a bucket the nearest node there of another component.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def bucket(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            node, component, n = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:3])
-            words = np.array([len(r[3]) // 8 for r in rows])
-            # Linked sets differ in size by a third at most: in width by one step.
-            for width in np.unique(words).tolist():
-                own = np.flatnonzero(words == width)
-                wide = np.flatnonzero(words == 2 * width)
-                at = np.concatenate([own, wide])
-                bits = [np.frombuffer(b"".join(rows[k][3] for k in x), U64) for x in (own, wide)]
-                bits = np.concatenate(
-                    [bits[0].reshape(-1, width), _folded(bits[1].reshape(-1, 2 * width), width)]
-                )
-                for i in range(len(own)):
-                    differs = np.flatnonzero(component[at[i + 1 :]] != component[own[i]]) + i + 1
-                    near = np.abs(n[at[differs]] - n[own[i]]) * 100 <= (100 - threshold) * np.maximum(
-                        n[at[differs]], n[own[i]]
-                    )
-                    differs = differs[near]
-                    apart = np.bitwise_count(bits[differs] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                    hit = at[differs[_allowed(apart, n[at[differs]] + n[own[i]], threshold)]]
-                    if len(hit):
-                        low, high = np.minimum(node[own[i]], node[hit]), np.maximum(node[own[i]], node[hit])
-                        yield pa.record_batch([low, high], ["a", "b"])
+    Nearest by sketch, among those it allows a link with and that have not
+    failed with this node already (``failed``): at most one pair a node.
+    """
 
+    def bucket(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        node, component, n = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:3])
+        failed = [np.array(r[4], np.int64) if r[4] else None for r in rows]
+        words = np.array([len(r[3]) // 8 for r in rows])
+        best, partner = np.full(len(node), np.inf), np.full(len(node), -1)
+        # Linked sets differ in size by a third at most: in width by one step.
+        for width in np.unique(words).tolist():
+            own, wide = np.flatnonzero(words == width), np.flatnonzero(words == 2 * width)
+            at = np.concatenate([own, wide])
+            bits = [np.frombuffer(b"".join(rows[k][3] for k in x), U64) for x in (own, wide)]
+            bits = np.concatenate(
+                [bits[0].reshape(-1, width), _folded(bits[1].reshape(-1, 2 * width), width)]
+            )
+            for i, k in enumerate(own.tolist()):
+                later = np.flatnonzero(component[at[i + 1 :]] != component[k]) + i + 1
+                other = at[later]
+                near = np.abs(n[other] - n[k]) * 100 <= (100 - threshold) * np.maximum(n[other], n[k])
+                if failed[k] is not None:
+                    near &= ~np.isin(node[other], failed[k])
+                later, other = later[near], other[near]
+                apart = np.bitwise_count(bits[later] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                ok = _allowed(apart, n[other] + n[k], threshold)
+                other = other[ok]
+                if len(other):
+                    far = apart[ok] / (n[other] + n[k])
+                    if far.min() < best[k]:
+                        best[k], partner[k] = far.min(), other[far.argmin()]
+                    closer = far < best[other]
+                    best[other[closer]], partner[other[closer]] = far[closer], k
+        some = np.flatnonzero(partner >= 0)
+        if len(some):
+            pairs = np.stack([node[some], node[partner[some]]], 1)
+            pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[0] != now and rows:
                     yield from bucket(rows)
                     rows = []
@@ -470,9 +486,9 @@ def _crossing(rows: DataFrame, threshold: int) -> DataFrame:
             yield from bucket(rows)
 
     return (
-        rows.select("sig", "node", "component", "n", "sketch")
+        rows.select("sig", "node", "component", "n", "sketch", "failed")
         .repartition("sig")
-        .sortWithinPartitions("sig")
+        .sortWithinPartitions("sig", "node")
         .mapInArrow(run, "a long, b long")
         .distinct()
     )
@@ -550,7 +566,7 @@ def similar_groups(
     links = links.union(verifier.linked(rest.join(first, ["a", "b"], "left_anti")))
     labels = materialised(components(links))
     large = large.select("sig", "node")
-    star_rounds = 0
+    star_rounds, failed = 0, []
     while True:
         # Large buckets whose nodes are not one component yet.
         named = large.select("sig", "node").join(labels, "node", "left")
@@ -560,24 +576,26 @@ def similar_groups(
         if large.isEmpty():
             break
         star_rounds += 1
-        new = None
         if star_rounds <= STAR_ROUNDS:
             turn = F.xxhash64("node", F.lit(star_rounds))
             heads = large.groupBy("sig").agg(
                 F.min_by("node", turn).alias("leader"), F.min_by("component", turn).alias("other")
             )
             heads = large.join(heads, "sig").where("component <> other")
-            new = verifier.linked(stars(plausible(heads)))
-        # Few new links: what is left are not copies of one text.
-        if new is None or new.count() * 50 < large.select("node").distinct().count():
-            if new is not None:
-                links = links.union(new)
-            new = verifier.linked(_crossing(large.join(nodes, "node"), threshold))
-            star_rounds = None
+            tried = stars(plausible(heads))
+        else:
+            once = reduce(DataFrame.union, failed)
+            by_node = once.selectExpr("a AS node", "b AS other").union(once.selectExpr("b", "a"))
+            by_node = by_node.groupBy("node").agg(F.collect_set("other").alias("failed"))
+            rows_of_buckets = large.join(nodes, "node").join(by_node, "node", "left")
+            tried = _nearest(rows_of_buckets, threshold)
+        tried = materialised(tried)
+        new = verifier.linked(tried)
+        failed.append(tried.join(new, ["a", "b"], "left_anti"))
+        if star_rounds > STAR_ROUNDS and tried.isEmpty():
+            break  # no pair of different components is left that could be linked
         links = links.union(new)
         labels = materialised(components(links))
-        if star_rounds is None:
-            break
     by_node = nodes.select("node", F.col("doc_id").alias("rep"))
     named = by_node.join(labels, "node", "left")
     smallest = named.groupBy(F.coalesce("component", "node").alias("component")).agg(
