@@ -5,6 +5,7 @@ from __future__ import annotations
 from contactmine.functions.locations import STATES
 from contactmine.functions.text import BLOCK_TAGS, ENTITIES, HIDDEN_TAGS, WS
 
+# The patterns of e-mail addresses and phones in text.
 EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 PHONE = rf"\(?\d{{3}}\)?[{WS}.\-]?\d{{3}}[{WS}.\-]?\d{{4}}"
 

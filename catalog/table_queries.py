@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog import sqltext as S
 from catalog.base import query, table, view
 from contactmine.functions.listings import (
+    PROPERTY_TYPES,
     listing_note,
     matched_type,
     property_type,
@@ -142,11 +143,11 @@ def _(spark, sf_dir):
 
 @query(
     "union_regions",
-    "SELECT ingest_ord, source, region FROM {fx_contacts} WHERE source IN ('A', 'B')",
+    "SELECT ingest_ord, source, region FROM {fx_contacts} WHERE source IN ('A', 'B', 'C')",
 )
 def _(spark, sf_dir):
     rows = view(spark, sf_dir, "fx_contacts").select("ingest_ord", "source", "region")
-    return C.union_regions([rows.filter(F.col("source") == s) for s in ("A", "B")])
+    return C.union_regions([rows.filter(F.col("source") == s) for s in ("A", "B", "C")])
 
 
 @query(
@@ -499,15 +500,8 @@ def _(spark, sf_dir):
 
 # -- listings ----------------------------------------------------------------
 
-_TYPES = (
-    "gas station|former gas station|gas station site|car wash|carwash|express car wash|tunnel wash|retail|"
-    "retail property|retail building|office|office building|office space|industrial|warehouse|distribution|land|"
-    "vacant land|development land|restaurant|qsr|fast food|automotive|auto service|auto repair|special purpose|specialty"
-).split("|")
-
-
 def _type_sql(x):
-    whens = " ".join(f"WHEN contains(lower({x}), '{t}') THEN '{t.title()}'" for t in _TYPES)
+    whens = " ".join(f"WHEN contains(lower({x}), '{t}') THEN '{t.title()}'" for t in PROPERTY_TYPES)
     word = rf"regexp_extract(lower({x}), '(?:^|\s)former\s+(\S+)', 1)"
     return f"(CASE {whens} WHEN {word} <> '' THEN 'Former ' || upper(({word})[1]) || ({word})[2:] ELSE '' END)"
 

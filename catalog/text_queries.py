@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import sqltext as S
 from catalog.base import query, table, view
-from contactmine.functions.companies import is_company_candidate, line_above_location
+from contactmine.functions.companies import SKIP_WORDS, is_company_candidate, line_above_location
 from contactmine.functions.emails import (
     first_allowed_email,
     first_email,
@@ -140,11 +140,10 @@ def _(spark, sf_dir):
 @query(
     "keyword_semi",
     """SELECT doc_id FROM {documents} d
-       WHERE EXISTS (SELECT 1 FROM {dim_words} WHERE length(kw) > 6 AND contains(lower(d.text), lower(kw)))""",
+       WHERE EXISTS (SELECT 1 FROM {dim_words} WHERE contains(lower(d.text), lower(kw)))""",
 )
 def _(spark, sf_dir):
-    long_words = view(spark, sf_dir, "dim_words").filter(F.length("kw") > 6)
-    return keyword_semi(_documents(spark, sf_dir), long_words, "doc_id", "text")
+    return keyword_semi(_documents(spark, sf_dir), view(spark, sf_dir, "dim_words"), "doc_id", "text")
 
 
 @query(
@@ -414,9 +413,6 @@ def _(spark, sf_dir):
     )
 
 
-_SKIP = "city state location address zip phone email @ logo image photo picture profile broker view"
-
-
 @query(
     "company_filter",
     f"""SELECT doc_id, pos, line FROM (
@@ -425,7 +421,7 @@ _SKIP = "city state location address zip phone email @ logo image photo picture
               SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)),
                 lambda x: {S.trim('x')}), lambda x: x <> '') AS ls FROM {{documents}}) a) b) c
         WHERE length(line) BETWEEN 2 AND 200
-          AND len(list_filter({S.words(_SKIP.split())}, lambda w: contains(lower(line), w))) = 0""",
+          AND len(list_filter({S.words(SKIP_WORDS)}, lambda w: contains(lower(line), w))) = 0""",
 )
 def _(spark, sf_dir):
     lines = _documents(spark, sf_dir).select(

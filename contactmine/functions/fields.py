@@ -26,6 +26,7 @@ from contactmine.functions.text import WS, blank_to_null, first_line, let, squee
 # The word an icon's text may start with.
 ICON_PREFIXES = ("apartment", "building", "company")
 
+# Words that mark a map pin, a place and a company icon.
 _PIN = D.any_of(
     D.class_holds("pin", "location", "map"),
     D.attr_holds("data-testid", "location"),
@@ -183,7 +184,7 @@ def company_after_heading(dom: Column, body: Column) -> Column:
         _company_like(label_sibling_text(dom, body, "Company")),
         *[
             _company_like(D.text_of(body, D.first(dom, D.class_holds(name))))
-            for name in ("company", "firm", "brokerage")
+            for name in ("company", "firm", "brokerage")  # fixed values
         ],
     )
 
