@@ -94,11 +94,14 @@ def train(
 ) -> LanguageModel:
     """Fit on four of five texts, calibrate on the fifth ones."""
     names = sorted(set(langs))
-    part = next(slices(pa.array(texts), 1 << 40, 1 << 30))[2]
-    starts, ends, first = part.words()
-    grams, edge = _word_grams(part.data, starts, ends)
-    spans = edge[first]
-    bags = [np.unique(grams[a:b], return_counts=True) for a, b in zip(spans[:-1], spans[1:], strict=True)]
+    # Small slices: n-grams take many times the memory of the text.
+    parts = [part for _, _, part in slices(pa.array(texts), 1 << 18)]
+    bags = []
+    for part in parts:
+        starts, ends, first = part.words()
+        grams, edge = _word_grams(part.data, starts, ends)
+        spans = edge[first]
+        bags += [np.unique(grams[a:b], return_counts=True) for a, b in zip(spans[:-1], spans[1:], strict=True)]
     label = np.searchsorted(names, langs)
     rng = np.random.default_rng(seed)
     kept_out = np.arange(len(texts)) % 5 == 4
@@ -124,7 +127,7 @@ def train(
     model = LanguageModel(names, inner @ outer, bias, 1.0, 0.0)
     test = np.flatnonzero(kept_out)
     if len(test):
-        logits = model.logits(part)[test]
+        logits = np.concatenate([model.logits(part) for part in parts])[test]
         own = np.arange(len(test)), label[test]
         heats = np.geomspace(0.05, 5, 40)
         losses = [-np.log(_softmax(logits / t)[own] + 1e-12).mean() for t in heats]
