@@ -67,34 +67,19 @@ EDGE = rf"{CITY},[{WS}]*([A-Za-z]{{2}})(?:[^\p{{L}}\p{{N}}_]|$)"
 
 
 def location_pass(
-    text: str, pattern: str, state: str, title_cities: bool = False, cut: str | None = None
+    text: str, pattern: str, state: str, title_cities: bool = False
 ) -> str:
-    """First accepted match; ``state`` is SQL over ``p.s``.
-
-    With ``cut`` only matches that start at or before that offset.
-    """
+    """First accepted match; ``state`` is SQL over ``p.s``."""
     city = trim("p.c")
     shown = (
         f"CASE WHEN {city} = upper({city}) THEN {title(city)} ELSE {city} END"
         if title_cities
         else city
     )
-    if cut is None:
-        pairs = (
-            f"list_transform(list_zip(regexp_extract_all({text}, '{pattern}', 1), "
-            f"regexp_extract_all({text}, '{pattern}', 2)), lambda z: {{'c': z[1], 's': z[2]}})"
-        )
-    else:
-        # Group 1 is the gap before the match, so lengths add up to positions.
-        def group(n: int) -> str:
-            return f"regexp_extract_all({text}, '(?s)(.*?)({pattern})', {n})"
-
-        pairs = (
-            f"list_filter(list_transform(range(1, len({group(0)}) + 1), lambda i: "
-            f"{{'c': {group(3)}[i], 's': {group(4)}[i], "
-            f"'at': length(array_to_string({group(0)}[1:i], '')) - length({group(2)}[i])}}), "
-            f"lambda m: m.at <= {cut})"
-        )
+    pairs = (
+        f"list_transform(list_zip(regexp_extract_all({text}, '{pattern}', 1), "
+        f"regexp_extract_all({text}, '{pattern}', 2)), lambda z: {{'c': z[1], 's': z[2]}})"
+    )
     return (
         f"list_filter(list_transform({pairs}, lambda p: CASE WHEN length({city}) BETWEEN 1 AND 50 "
         f"THEN {shown} || ', ' || {state} END), lambda r: r IS NOT NULL)[1]"
@@ -111,14 +96,14 @@ NAMED_STATE = f"{STATE_MAP}[lower({trim('p.s')})]"
 def location_a(text: str) -> str:
     t = squeeze(text)
     return (
-        f"CASE WHEN length({text}) <= 2000 THEN coalesce("
+        "coalesce("
         f"{location_pass(t, ZIP, NAMED_STATE)}, {location_pass(t, CODE, 'p.s')}, "
-        f"{location_pass(t, NAME, NAMED_STATE)}, {location_pass(t, EDGE, 'p.s')}) END"
+        f"{location_pass(t, NAME, NAMED_STATE)}, {location_pass(t, EDGE, 'p.s')})"
     )
 
 
 def location_b(text: str) -> str:
-    t = squeeze(f"substr({text}, 1, 10000)")
+    t = squeeze(text)
     return (
         f"coalesce({location_pass(t, ZIP, ANY_STATE, True)}, "
         f"{location_pass(t, CODE, 'upper(p.s)', True)})"
@@ -126,10 +111,8 @@ def location_b(text: str) -> str:
 
 
 def location_c(text: str) -> str:
-    t = squeeze(f"substr({text}, 1, 50000)")
-    cut = f"CAST(floor(length({t}) * 0.75) AS INT)"
+    t = squeeze(text)
     return (
-        f"coalesce({location_pass(t, ZIP, ANY_STATE, cut=cut)}, "
-        f"{location_pass(t, CODE, 'upper(p.s)', cut=cut)}, "
-        f"{location_pass(f'substr({t}, 1, {cut})', EDGE, 'upper(p.s)')})"
+        f"coalesce({location_pass(t, ZIP, ANY_STATE)}, "
+        f"{location_pass(t, CODE, 'upper(p.s)')}, {location_pass(t, EDGE, 'upper(p.s)')})"
     )

@@ -512,8 +512,8 @@ _LISTINGS = f"""(SELECT page_id, pos, CASE WHEN regexp_matches(lower(full_raw ||
     FROM (SELECT *, trim(title || ' ' || description || ' ' || type) AS full_raw FROM {{fx_cards}}) a WHERE full_raw <> '') g"""
 _LISTING_KEYS = PROPERTY_KEYWORDS + ["widget", "anvil", "gear"]
 _MATCHING = f"""(SELECT *, CASE WHEN type <> '' THEN type WHEN title <> '' THEN
-      CASE WHEN {_type_sql('title')} <> '' THEN {_type_sql('title')} ELSE title[1:50] END
-      WHEN {_type_sql('description[1:200]')} <> '' THEN {_type_sql('description[1:200]')} ELSE 'Property Listing' END AS matched_type,
+      CASE WHEN {_type_sql('title')} <> '' THEN {_type_sql('title')} ELSE title END
+      WHEN {_type_sql('description')} <> '' THEN {_type_sql('description')} ELSE 'Property Listing' END AS matched_type,
       row_number() OVER (PARTITION BY page_id ORDER BY status, pos) AS rn
     FROM {_LISTINGS} WHERE len({S.hits('full_text', _LISTING_KEYS)}) > 0) m"""
 _HIT_LISTS = f"""(SELECT page_id, array_to_string(list(kw ORDER BY status, pos, i), '; ') AS hits FROM (

@@ -72,15 +72,18 @@ def main_or_body_text(dom: Column, body: Column) -> Column:
     return F.coalesce(tag_text(dom, body, "main"), body)
 
 
-def labelled_block(dom: Column, body: Column, labels: Sequence[str]) -> Column:
-    """Prose around the first label whose parent text is under 2,000 characters.
+def labelled_block(
+    dom: Column, body: Column, labels: Sequence[str], max_chars: int | None = None
+) -> Column:
+    """Prose around the first label, on request only if shorter than ``max_chars``.
 
     Without one, the first paragraph or block of the main part.
     """
-    tries = [
-        let(label_parent_text(dom, body, label), lambda t: F.when(F.length(t) < 2000, t))
-        for label in labels
-    ]
+
+    def short(text: Column) -> Column:
+        return text if max_chars is None else let(text, lambda t: F.when(F.length(t) < max_chars, t))
+
+    tries = [short(label_parent_text(dom, body, label)) for label in labels]
     mains = F.filter(dom, D.tag_in(["main"]))
     prose = F.filter(dom, D.any_of(D.has_class("content"), D.has_class("profile")))
 
@@ -134,7 +137,7 @@ def mailto_email(dom: Column, check_address: bool = False) -> Column:
     )
 
 
-def email_link_or_text(dom: Column, body: Column, max_chars: int = 10_000) -> Column:
+def email_link_or_text(dom: Column, body: Column, max_chars: int | None = None) -> Column:
     return F.coalesce(mailto_email(dom), first_email(body, max_chars))
 
 
@@ -150,7 +153,7 @@ def tel_phone(dom: Column, body: Column) -> Column:
     )
 
 
-def phone_link_or_text(dom: Column, body: Column, max_chars: int = 5_000) -> Column:
+def phone_link_or_text(dom: Column, body: Column, max_chars: int | None = None) -> Column:
     return F.coalesce(tel_phone(dom, body), first_phone(body, max_chars))
 
 
@@ -288,17 +291,17 @@ def location_from_labels(
     for label in labels:
         scopes.append(label_parent_text(dom, body, label))
         scopes.append(label_sibling_text(dom, body, label))
-    scopes.append(F.left(main_or_body_text(dom, body), F.lit(50_000)))
+    scopes.append(main_or_body_text(dom, body))
     return first_location(F.array(*scopes), rule)
 
 
 def location_from_pin(dom: Column, body: Column, rule: LocationRule) -> Column:
-    """Around the pin icon as it stands, then a place block, then the page's first 10,000 characters."""
+    """Around the pin icon as it stands, then a place block, then the whole page."""
     scopes = F.array(
         let(D.first(dom, _PIN), lambda n: D.text_of(body, D.parent(dom, n))),
         let(D.first(dom, _PIN), lambda n: D.text_of(body, D.next_sibling(dom, n))),
         D.text_of(body, D.first(dom, _PLACE)),
-        squeeze_ws(F.left(body, F.lit(10_000))),
+        squeeze_ws(body),
     )
     as_is = LocationRule(title=rule.title, strict=rule.strict, squeeze=False)
     return first_location(scopes, as_is)

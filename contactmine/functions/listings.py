@@ -85,18 +85,30 @@ def status_order(status: Column) -> Column:
     return F.when(status == "Sold", 1).otherwise(0)
 
 
-def matched_type(type_: Column, title: Column, description: Column) -> Column:
-    """What to call a matching listing: its type, its title's, its description's, or a fallback."""
+def matched_type(
+    type_: Column,
+    title: Column,
+    description: Column,
+    title_chars: int | None = None,
+    description_chars: int | None = None,
+) -> Column:
+    """What to call a matching listing: its type, its title's, its description's, or a fallback.
+
+    Title and description are used whole unless their leading characters are asked for.
+    """
+
+    def head(c: Column, n: int | None) -> Column:
+        return c if n is None else F.left(c, F.lit(n))
 
     def filled(c: Column) -> Column:
         return let(c, lambda x: F.when(x != "", x))
 
     from_title = F.when(
         title != "",
-        F.coalesce(filled(property_type(title)), F.left(title, F.lit(50))),
+        F.coalesce(filled(property_type(title)), head(title, title_chars)),
     )
     from_description = F.when(
-        description != "", filled(property_type(F.left(description, F.lit(200))))
+        description != "", filled(property_type(head(description, description_chars)))
     )
     return F.coalesce(filled(type_), from_title, from_description, F.lit(FALLBACK_TYPE))
 

@@ -21,7 +21,7 @@ WS = (
 )
 
 # Elements whose text is never shown.
-HIDDEN_TAGS = ["script", "style", "noscript", "template", "head"]
+HIDDEN_TAGS = ["script", "style", "noscript", "template", "title"]
 
 # Elements that start and end on a line of their own.
 BLOCK_TAGS = [
@@ -53,13 +53,16 @@ ENTITIES = {
     "&amp;": "&",
 }
 
+# The rest of a tag: quoted values may hold any character, and another tag's start
+# ends the try, so that a page of unclosed tags takes linear time.
+_TAG_REST = r"""(?:=[ \t\r\n\f]*+(?:"[^"]*+"|'[^']*+')|[^<>])*+>"""
 HIDDEN_PATTERN = (
     "(?is)"
-    + "|".join(rf"<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in HIDDEN_TAGS)
+    + "|".join(rf"<{t}\b{_TAG_REST}.*?(?:</{t}\s*>|\z)" for t in HIDDEN_TAGS)
     + r"|<!--.*?(?:-->|\z)"
 )
-BLOCK_PATTERN = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})\b[^>]*>"
-TAG_PATTERN = r"</?[a-zA-Z!?][^>]*>"
+BLOCK_PATTERN = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})\b{_TAG_REST}"
+TAG_PATTERN = rf"</?[a-zA-Z!?]{_TAG_REST}"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from contactmine.functions.text import HIDDEN_PATTERN, let
+from contactmine.functions.text import HIDDEN_PATTERN, decode_entities, let, trim_ws
 
 # Shapes of a profile URL. The third is completed with a host.
 PROFILE_URL_NUMBERED = r"(?i)/business-broker/[^/]+/[^/]+/BW\d+"
@@ -17,8 +17,13 @@ def profile_url_slug(host: str) -> str:
     return rf"(?i){host.replace('.', chr(92) + '.')}/profile/([a-z0-9\-]+)"
 
 
-LINK_PATTERN = r"""(?i)<a\s[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-ANY_LINK_PATTERN = r"""(?i)<[a-z][^>]*?\bhref\s*=\s*["']([^"']*)["']"""
+# Attributes are read one by one, so only an attribute named href counts, and each
+# tag is read once.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'<>]++)"""
+_OTHER_ATTRIBUTES = rf"""(?:[\s/]++(?!href[\s=])[^\s/<>=]++(?:\s*+=\s*+{_VALUE})?+)*+"""
+_HREF = rf"""{_OTHER_ATTRIBUTES}[\s/]++href\s*+=\s*+({_VALUE})"""
+LINK_PATTERN = rf"(?i)<a(?=[\s/]){_HREF}"
+ANY_LINK_PATTERN = rf"(?i)<[a-z][^\s/<>]*+{_HREF}"
 
 _AUTHORITY = r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)"
 
@@ -29,8 +34,8 @@ def page_hrefs(html: Column, any_element: bool = False) -> Column:
     hrefs = F.regexp_extract_all(
         shown, F.lit(ANY_LINK_PATTERN if any_element else LINK_PATTERN), F.lit(1)
     )
-    decoded = F.transform(hrefs, lambda h: F.replace(h, F.lit("&amp;"), F.lit("&")))
-    return F.filter(decoded, lambda h: h != "")
+    bare = F.transform(hrefs, lambda h: F.regexp_replace(h, r"""^["']|["']$""", ""))
+    return F.filter(F.transform(bare, lambda h: trim_ws(decode_entities(h))), lambda h: h != "")
 
 
 def url_host(url: Column) -> Column:

@@ -14,10 +14,10 @@ from contactmine.functions.urls import (
     resolve_url,
     skip_first,
 )
-from contactmine.operators.prefix import running_sum
+from contactmine.operators.prefix import null_safe_join, running_sum
 
-# Spark prunes row_number() <= n before the shuffle up to this n.
-_GROUP_LIMIT = 1000
+# A group is ranked in this many parts before its survivors meet.
+_RANK_PARTS = 64
 
 
 def page_links(pages: DataFrame, any_element: bool = False) -> DataFrame:
@@ -85,11 +85,9 @@ def first_seen(
 def novelty(seen: DataFrame, pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New URLs per page, zero for pages that add nothing. ``keys`` end with the page number."""
     added = seen.groupBy(*keys).agg(F.count("*").alias("added"))
-    return (
-        pages.select(*keys)
-        .distinct()
-        .join(added, list(keys), "left")
-        .withColumn("added", F.coalesce("added", F.lit(0)))
+    every = pages.select(*keys).distinct()
+    return null_safe_join(every, added, keys, "left").withColumn(
+        "added", F.coalesce("added", F.lit(0))
     )
 
 
@@ -114,14 +112,16 @@ def until_stop(rows: DataFrame, stops: DataFrame, keys: Sequence[str]) -> DataFr
     splits a hot group when it is not.
     """
     *group, page_num = keys
-    return rows.join(stops, list(group)).filter(
+    return null_safe_join(rows, stops, group).filter(
         F.col("stop_page").isNull() | (F.col(page_num) < F.col("stop_page"))
     ).drop("stop_page")
 
 
 def page_range(
-    rows: DataFrame, start_page: int, max_pages: int, column: str = "page_num"
+    rows: DataFrame, start_page: int, max_pages: int | None, column: str = "page_num"
 ) -> DataFrame:
+    if max_pages is None:
+        return rows.filter(F.col(column) >= start_page)
     return rows.filter(F.col(column).between(start_page, start_page + max_pages - 1))
 
 
@@ -160,30 +160,20 @@ def landed_directory(pages: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def cap_per_group(
-    rows: DataFrame, group: Sequence[str], n: int | None, order: tuple[str, str] = ("page_num", "pos")
+    rows: DataFrame, group: Sequence[str], n: int | None, order: Sequence[str] = ("page_num", "pos")
 ) -> DataFrame:
-    """The first ``n`` rows of each group; all when there is no cap.
+    """The first ``n`` rows of each group, NULL groups too; all when there is no cap.
 
-    Small caps are applied before the shuffle. Larger ones rank by the count
-    of earlier pages plus the place on the page, so no group meets in one task.
+    A group is ranked in parts first and then over the parts' first ``n`` rows,
+    so that no task sorts a whole hot group.
     """
     if n is None:
         return rows
-    page_num, pos = order
-    if n <= _GROUP_LIMIT:
-        window = Window.partitionBy(*group).orderBy(*order)
-        return rows.withColumn("_rn", F.row_number().over(window)).filter(
-            F.col("_rn") <= n
-        ).drop("_rn")
-    counts = rows.groupBy(*group, page_num).agg(F.count("*").alias("_n"))
-    through = running_sum(counts, group, page_num, F.col("_n"), "_through")
-    on_page = Window.partitionBy(*group, page_num).orderBy(pos)
-    return (
-        rows.withColumn("_at", F.row_number().over(on_page))
-        .join(through, [*group, page_num])
-        .filter(F.col("_through") - F.col("_n") + F.col("_at") <= n)
-        .drop("_at", "_n", "_through")
-    )
+    split = rows.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(_RANK_PARTS)))
+    for keys in ([*group, "_part"], group):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        split = split.withColumn("_rn", rank).filter(F.col("_rn") <= n).drop("_rn")
+    return split.drop("_part")
 
 
 def skip_seen(rows: DataFrame, seen: DataFrame, scope: Sequence[str] = ()) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from contactmine.functions import dom as D
 from contactmine.functions.listings import (
@@ -17,11 +17,11 @@ from contactmine.functions.listings import (
     status_order,
 )
 from contactmine.functions.text import let
+from contactmine.operators.frontier import cap_per_group
 from contactmine.operators.matching import with_hits
 
 # What makes an element a listing card, and its parts.
 CARD_CLASSES = ["listing", "property"]
-CARD_CAP = 100
 _TITLE_TAGS = ["h2", "h3", "h4", "h5"]
 _TITLE_CLASSES = ["title", "name", "heading"]
 _DESCRIPTION_CLASSES = ["description", "overview", "summary", "details"]
@@ -36,9 +36,10 @@ _is_card = D.any_of(
 )
 
 
-def listing_cards(dom: Column, cap: int = CARD_CAP) -> Column:
-    """The page's first cards in document order."""
-    return F.slice(F.filter(dom, _is_card), F.lit(1), F.lit(cap))
+def listing_cards(dom: Column, cap: int | None = None) -> Column:
+    """The page's cards in document order, on request only the first ``cap``."""
+    cards = F.filter(dom, _is_card)
+    return cards if cap is None else F.slice(cards, F.lit(1), F.lit(cap))
 
 
 def _part(dom: Column, body: Column, card: Column, test: D.Test) -> Column:
@@ -60,7 +61,7 @@ def listing_fields(
     ]
 
 
-def card_listings(dom: Column, body: Column, cap: int = CARD_CAP) -> Column:
+def card_listings(dom: Column, body: Column, cap: int | None = None) -> Column:
     """Array of listing structs, one per card that has any text."""
 
     def read(card: Column, pos: Column) -> Column:
@@ -114,9 +115,9 @@ def section_listings(dom: Column, body: Column) -> Column:
     return F.array_compact(F.array(*found))
 
 
-def page_listings(dom: Column, body: Column) -> Column:
+def page_listings(dom: Column, body: Column, cap: int | None = None) -> Column:
     """Listings from cards, or from sections on pages without card listings."""
-    cards = card_listings(dom, body).cast(f"array<{LISTING_TYPE}>")
+    cards = card_listings(dom, body, cap).cast(f"array<{LISTING_TYPE}>")
     sections = section_listings(dom, body).cast(f"array<{LISTING_TYPE}>")
     return let(
         cards,
@@ -132,17 +133,12 @@ def listings_table(df: DataFrame, *keys: str) -> DataFrame:
 # The same rules over a table with one row per card.
 
 
-def listing_rows(cards: DataFrame, key: str = "page_id", cap: int = CARD_CAP) -> DataFrame:
+def listing_rows(cards: DataFrame, key: str = "page_id", cap: int | None = None) -> DataFrame:
     """Cards ``(key, pos, title, description, type, parent_text)`` to listing rows.
 
-    The cap per page applies before the shuffle.
+    Without a cap per page nothing is shuffled.
     """
-    first = Window.partitionBy(key).orderBy("pos")
-    capped = (
-        cards.withColumn("_rn", F.row_number().over(first))
-        .filter(F.col("_rn") <= cap)
-        .drop("_rn")
-    )
+    capped = cap_per_group(cards, [key], cap, ("pos",))
 
     texts = [F.coalesce(F.col(c), F.lit("")) for c in ("title", "description", "type")]
     joined = capped.withColumn("_raw", F.trim(F.concat_ws(" ", *texts)))
@@ -199,7 +195,7 @@ def listing_keyword_lists(
 def combined_texts(
     bodies: DataFrame, listings: DataFrame, key: str = "page_id", body: str = "body_text"
 ) -> DataFrame:
-    """Page text followed by its listing texts; at most the card cap per page."""
+    """Page text followed by its listing texts, all of them."""
     texts = listings.groupBy(key).agg(
         F.array_join(
             F.transform(

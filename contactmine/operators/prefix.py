@@ -6,7 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_BITS = 12
+_BITS = 20
+
+
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the key columns come from the left."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _before(df: DataFrame, block: Sequence[str], by: str, out: str) -> DataFrame:
@@ -25,36 +34,25 @@ def running_sum(
     """Running sum of ``value`` per group, in the order of a unique integer column.
 
     A window over the group would put the whole group in one task. Here the
-    order column is cut into blocks of 4,096 and blocks of blocks; each level
-    sums within its own block, so no task sees more than a block, however
-    large the group. The upper levels are thousands of times smaller.
+    order column is cut into blocks of 2^20: rows sum within their block, and
+    the block sums, a million times fewer, within their group. The group is one
+    struct, which also finds its block where a key is NULL.
     """
-    keys = list(keys)
     rows = df.withColumns(
         {
+            "_g": F.struct(*[F.col(k) for k in keys], F.lit(0).alias("_all")),
             "_v": value.cast("long"),
-            "_b1": F.shiftright(F.col(order).cast("long"), _BITS),
-            "_b2": F.shiftright(F.col(order).cast("long"), 2 * _BITS),
+            "_b": F.shiftright(F.col(order).cast("long"), _BITS),
         }
     )
-    small = rows.groupBy(*keys, "_b2", "_b1").agg(F.sum("_v").alias("_v"))
-    large = small.groupBy(*keys, "_b2").agg(F.sum("_v").alias("_v"))
-    large = large.withColumn("_b3", F.shiftright("_b2", _BITS))
-    huge = large.groupBy(*keys, "_b3").agg(F.sum("_v").alias("_v"))
-    huge = _before(huge, keys, "_b3", "_p3").drop("_v")
-    large = _before(large, [*keys, "_b3"], "_b2", "_p2").drop("_v").join(
-        huge, [*keys, "_b3"]
-    )
-    small = _before(small, [*keys, "_b2"], "_b1", "_p1").drop("_v").join(
-        large.drop("_b3"), [*keys, "_b2"]
-    )
+    blocks = rows.groupBy("_g", "_b").agg(F.sum("_v").alias("_v"))
+    blocks = _before(blocks, ["_g"], "_b", "_p1").drop("_v")
     within = (
-        Window.partitionBy(*keys, "_b1")
+        Window.partitionBy("_g", "_b")
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = rows.drop("_b2").withColumn("_p0", F.sum("_v").over(within))
-    joined = summed.join(small.drop("_b2"), [*keys, "_b1"])
-    return joined.withColumn(
-        out, F.col("_p0") + F.col("_p1") + F.col("_p2") + F.col("_p3")
-    ).select(*df.columns, out)
+    summed = rows.withColumn("_p0", F.sum("_v").over(within))
+    return summed.join(blocks, ["_g", "_b"]).select(
+        *df.columns, (F.col("_p0") + F.col("_p1")).alias(out)
+    )

@@ -206,7 +206,7 @@ def build_frontier(directory: DataFrame, profile: SourceProfile) -> DataFrame:
     """
     keys = ["region", "region_ord", "page_num"]
     order = ["region_ord", "page_num", "pos"]
-    if profile.max_pages is not None:
+    if profile.max_pages is not None or profile.start_page > 1:
         directory = U.page_range(directory, profile.start_page, profile.max_pages)
     if profile.layout == "cards":
         carried = ["card_name", "card_company"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from contactmine.functions.locations import LocationRule
 from contactmine.functions.urls import (
@@ -87,12 +87,9 @@ SOURCE_A = SourceProfile(
     layout="tabs",
     keywords=WASH_KEYWORDS,
     url_pattern=PROFILE_URL_NUMBERED,
-    max_pages=60,
     stop_when_nothing_new=True,
     sorted_visits=True,
-    location=LocationRule(
-        zip_codes=False, upper=False, names=True, edge=True, max_scope_chars=2000
-    ),
+    location=LocationRule(zip_codes=False, upper=False, names=True, edge=True),
 )
 
 SOURCE_B = SourceProfile(
@@ -101,7 +98,7 @@ SOURCE_B = SourceProfile(
     keywords=WASH_KEYWORDS,
     url_pattern=PROFILE_URL_ASPX,
     excluded_urls=["brokers.aspx", "florida.aspx", "new-york.aspx"],
-    location=LocationRule(title=True, max_chars=10_000),
+    location=LocationRule(title=True),
 )
 
 SOURCE_C = SourceProfile(
@@ -109,14 +106,14 @@ SOURCE_C = SourceProfile(
     layout="cards",
     keywords=BIO_KEYWORDS,
     seen_scope=["region"],
-    location=LocationRule(edge=True, cutoff=0.75, max_chars=50_000),
+    location=LocationRule(edge=True),
     blocked_phones=[HEADER_PHONE_C],
     headers={"Notes (URL Link)": "Notes (Keywords Found)"},
     sink_modes=(FULL,),
 )
 
 
-def source_d(host: str, start_page: int = 1, max_pages: int = 50) -> SourceProfile:
+def source_d(host: str, start_page: int = 1, max_pages: int | None = None) -> SourceProfile:
     """The listings layout on a given host, whose own support address is blocked."""
     return SourceProfile(
         name="D",
@@ -124,7 +121,6 @@ def source_d(host: str, start_page: int = 1, max_pages: int = 50) -> SourceProfi
         keywords=PROPERTY_KEYWORDS,
         url_pattern=profile_url_slug(host),
         min_slug=3,
-        skip_links=3,
         any_element_links=True,
         start_page=start_page,
         max_pages=max_pages,
@@ -137,6 +133,24 @@ def source_d(host: str, start_page: int = 1, max_pages: int = 50) -> SourceProfi
     )
 
 
+# Limits that the four crawls ran under. No profile has them by itself.
+_LIMITS = {
+    "A": {"max_pages": 60, "location": {"max_scope_chars": 2000}},
+    "B": {"location": {"max_chars": 10_000}},
+    "C": {"location": {"max_chars": 50_000, "cutoff": 0.75}},
+    "D": {"max_pages": 50, "skip_links": 3},
+}
+
+
+def limited(profile: SourceProfile) -> SourceProfile:
+    """The profile with the limits of the original crawl: it then reads parts of texts and directories."""
+    limits = dict(_LIMITS[profile.name])
+    if profile.max_pages is not None:
+        limits.pop("max_pages", None)
+    location = replace(profile.location, **limits.pop("location", {}))
+    return replace(profile, location=location, **limits)
+
+
 # The alternative directory of the listings layout holds one page, number 21.
 ALTERNATIVE_START_PAGE_D = 21
 ALTERNATIVE_MAX_PAGES_D = 1

@@ -91,12 +91,15 @@ def test_bio_fallbacks(spark):
     assert read(spark, "<p class='my-bio'>short</p>", bio) == "short"
     assert read(spark, "<p>nothing</p>", bio) is None
     long_about = f"<div>About {'x ' * 1100}</div><main><p>main</p></main>"
-    assert read(spark, long_about, bio) == "main"
+    assert read(spark, f"<div><b>About</b> {'x ' * 1100}</div>", bio).startswith("About x x")
+    short = lambda d, b: X.labelled_block(d, b, BIO_LABELS, max_chars=2000)
+    assert read(spark, long_about, short) == "main"
 
 
 def test_card_cap(spark):
     html = "<body>" + "".join(f"<article><h3>t{i}</h3></article>" for i in range(130)) + "</body>"
-    assert read(spark, html, lambda d, b: F.size(page_listings(d, b))) == 100
+    assert read(spark, html, lambda d, b: F.size(page_listings(d, b))) == 130
+    assert read(spark, html, lambda d, b: F.size(page_listings(d, b, cap=100))) == 100
 
 
 def test_next_page(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contactmine.functions import companies, emails, keywords, listings, locations, phones, records, text, urls
 from contactmine.operators import contacts as C, frontier as U
-from contactmine.plans.profiles import SOURCE_A, SOURCE_B, SOURCE_C, WASH_KEYWORDS
+from contactmine.plans.profiles import SOURCE_A, SOURCE_B, SOURCE_C, WASH_KEYWORDS, limited
 from dataclasses import replace
 
 T = "t"
@@ -162,7 +162,7 @@ def test_mailto(one):
     assert one(lambda: emails.email_from_mailto(col(), True), t=only_query) is None
 
 
-C_UNCUT = replace(SOURCE_C.location, cutoff=None)
+C_UNCUT = SOURCE_C.location
 PLACES = [
     ("12 Main St\nMIAMI BEACH, FL 33101", "Main St MIAMI BEACH, FL", "Main St MIAMI BEACH, FL", "Main St MIAMI BEACH, FL"),
     ("12 / MIAMI BEACH, FL 33101", "MIAMI BEACH, FL", "Miami Beach, FL", "MIAMI BEACH, FL"),
@@ -189,10 +189,11 @@ def test_locations(one, value, a, b, c):
 def test_location_options(one):
     strict = replace(SOURCE_A.location, strict=True)
     assert one(lambda: locations.find_location(col(), strict), t="le, le") is None
-    long_text = "x. " * 700 + "Tampa, FL 33601"
-    assert one(lambda: locations.find_location(col(), SOURCE_A.location), t=long_text) is None
+    long_text = "x; " * 700 + "Tampa, FL 33601"
+    assert one(lambda: locations.find_location(col(), SOURCE_A.location), t=long_text) == "Tampa, FL"
+    assert one(lambda: locations.find_location(col(), limited(SOURCE_A).location), t=long_text) is None
     late = "word. " * 30 + "9 Tampa, FL 33601"
-    assert one(lambda: locations.find_location(col(), SOURCE_C.location), t=late) is None
+    assert one(lambda: locations.find_location(col(), limited(SOURCE_C).location), t=late) is None
     assert one(lambda: locations.find_location(col(), C_UNCUT), t=late) == "Tampa, FL"
 
 
