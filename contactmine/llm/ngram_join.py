@@ -18,9 +18,11 @@ first n/4 + 1 single features, so that two such sets meet there.
 Sets that are equal are one node. Signatures travel packed, twelve bytes each,
 to their shard. Small buckets give all their pairs; a large bucket gives only
 stars around its smallest nodes; then, round after round, each node tries the
-nearest node of another component that it has not tried, until its members are
-one component or no pair is left that could be linked. Pairs are first tested with bit sketches (whose distance never
-exceeds the true one), then verified on the whole sets.
+nearest nodes of other components that it has not tried (one, then sixteen times
+as many each round), until its members are one component or no pair is left that
+could be linked. Large buckets of the same nodes count once. Pairs are first
+tested with bit sketches (whose distance never exceeds the true one), then
+verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -431,18 +433,21 @@ class _Verifier:
         )
 
 
-def _nearest(rows: DataFrame, threshold: int) -> DataFrame:
-    """For each node of a bucket the nearest node there of another component.
+def _nearest(rows: DataFrame, threshold: int, tries: int) -> DataFrame:
+    """For each node of a bucket the nearest nodes there of other components.
 
     Nearest by sketch, among those it allows a link with and that have not
-    failed with this node already (``failed``): at most one pair a node.
+    failed with this node already (``failed``): its nearest of all, and the
+    ``tries`` nearest that come after it. A row (sig, null) says that pairs of
+    the bucket are left beyond those.
     """
 
-    def bucket(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def bucket(sig: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         node, component, n = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:3])
         failed = [np.array(r[4], np.int64) if r[4] else None for r in rows]
         words = np.array([len(r[3]) // 8 for r in rows])
         best, partner = np.full(len(node), np.inf), np.full(len(node), -1)
+        tried, left = [], False
         # Linked sets differ in size by a third at most: in width by one step.
         for width in np.unique(words).tolist():
             own, wide = np.flatnonzero(words == width), np.flatnonzero(words == 2 * width)
@@ -463,27 +468,31 @@ def _nearest(rows: DataFrame, threshold: int) -> DataFrame:
                 other = other[ok]
                 if len(other):
                     far = apart[ok] / (n[other] + n[k])
-                    if far.min() < best[k]:
-                        best[k], partner[k] = far.min(), other[far.argmin()]
                     closer = far < best[other]
                     best[other[closer]], partner[other[closer]] = far[closer], k
+                    if len(other) > tries:
+                        left = True
+                        other = other[np.argpartition(far, tries - 1)[:tries]]
+                    tried.append(np.stack([np.full(len(other), node[k]), node[other]], 1))
         some = np.flatnonzero(partner >= 0)
         if len(some):
-            pairs = np.stack([node[some], node[partner[some]]], 1)
-            pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+            tried.append(np.stack([node[some], node[partner[some]]], 1))
+            pairs = np.unique(np.sort(np.concatenate(tried), axis=1), axis=0)
             yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        if left:
+            yield pa.record_batch([pa.array([sig]), pa.nulls(1, pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[0] != now and rows:
-                    yield from bucket(rows)
+                    yield from bucket(now, rows)
                     rows = []
                 now = row[0]
                 rows.append(row[1:])
         if rows:
-            yield from bucket(rows)
+            yield from bucket(now, rows)
 
     return (
         rows.select("sig", "node", "component", "n", "sketch", "failed")
@@ -565,8 +574,14 @@ def similar_groups(
     rest = rest.where("ac IS NULL OR bc IS NULL OR ac <> bc").select("a", "b")
     links = links.union(verifier.linked(rest.join(first, ["a", "b"], "left_anti")))
     labels = materialised(components(links))
-    large = large.select("sig", "node")
-    star_rounds, failed = 0, []
+    large = large.select("sig", "node").distinct()
+    members = large.groupBy("sig").agg(
+        F.count("node").alias("n"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
+    )
+    large = large.join(members.groupBy("n", "s", "x").agg(F.min("sig").alias("sig")).select("sig"), "sig")
+    star_rounds, tries, failed = 0, 1, []
     while True:
         # Large buckets whose nodes are not one component yet.
         named = large.select("sig", "node").join(labels, "node", "left")
@@ -588,14 +603,17 @@ def similar_groups(
             by_node = once.selectExpr("a AS node", "b AS other").union(once.selectExpr("b", "a"))
             by_node = by_node.groupBy("node").agg(F.collect_set("other").alias("failed"))
             rows_of_buckets = large.join(nodes, "node").join(by_node, "node", "left")
-            tried = _nearest(rows_of_buckets, threshold)
+            near = materialised(_nearest(rows_of_buckets, threshold, tries))
+            tries *= 16
+            tried = near.where("b IS NOT NULL")
+            # Only these buckets hold pairs of different components yet to be tried.
+            large = large.join(near.where("b IS NULL").selectExpr("a AS sig"), "sig")
         tried = materialised(tried)
         new = verifier.linked(tried)
         failed.append(tried.join(new, ["a", "b"], "left_anti"))
-        if star_rounds > STAR_ROUNDS and tried.isEmpty():
-            break  # no pair of different components is left that could be linked
-        links = links.union(new)
-        labels = materialised(components(links))
+        if not new.isEmpty():
+            links = links.union(new)
+            labels = materialised(components(links))
     by_node = nodes.select("node", F.col("doc_id").alias("rep"))
     named = by_node.join(labels, "node", "left")
     smallest = named.groupBy(F.coalesce("component", "node").alias("component")).agg(
