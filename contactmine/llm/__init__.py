@@ -1,6 +1,12 @@
 """Operations of a training-data pipeline, each by one named method.
 
 One module per operator; ``queries`` registers their queries. Nothing outside
-this package imports it. Python runs only inside tasks, on Arrow batches, and
-imports this package there: a cluster needs it on the executors' path.
+this package imports it. Python runs only inside tasks, on Arrow batches; its
+code travels with the job, so executors need not have this package.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
