@@ -201,11 +201,16 @@ def _groups(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _bucket_rows(
-    sig: np.ndarray, node: np.ndarray, edge: np.ndarray
+    sig: np.ndarray, node: np.ndarray, edge: np.ndarray, known: np.ndarray
 ) -> pa.RecordBatch:
-    """Buckets as rows: pairs (sig null) of small ones, (sig, node, leader) of large ones."""
+    """Buckets as rows: pairs (sig null) of small ones, (sig, node, leader) of large ones.
+
+    ``known``: signatures that have rows of a large bucket already; whatever comes
+    later belongs to that bucket.
+    """
     sizes = np.diff(edge)
-    small = (sizes >= 2) & (sizes <= SMALL)
+    large = (sizes > SMALL) | ((sizes >= 2) & np.isin(sig[edge[:-1]], known))
+    small = (sizes >= 2) & ~large
     starts, lengths = edge[:-1][small], sizes[small]
     pairs = []
     for i in range(SMALL - 1):
@@ -213,7 +218,7 @@ def _bucket_rows(
             at = starts[lengths > j]
             pairs.append(np.stack([node[at + i], node[at + j]], 1))
     found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-    big = np.repeat(sizes > SMALL, sizes)
+    big = np.repeat(large, sizes)
     leader = np.repeat(node[edge[:-1]], sizes)[big] if len(sizes) else node
     none = np.concatenate([np.ones(len(found), bool), np.zeros(int(big.sum()), bool)])
     value = np.concatenate([np.zeros(len(found), np.int64), sig[big]])
@@ -264,6 +269,17 @@ def buckets(
                         ],
                         names,
                     )
+                    # The shard of each of these signatures is told of them.
+                    told = np.unique(sig[large])
+                    for each in np.split(told, np.flatnonzero(np.diff(told >> 32)) + 1):
+                        yield pa.record_batch(
+                            [
+                                pa.array([int(each[0] >> 32)], pa.int32()),
+                                pa.array([each.tobytes()], pa.binary()),
+                                *(pa.nulls(1, pa.binary()) for _ in range(2)),
+                            ],
+                            names,
+                        )
                 keep = ~large
                 keep[edge[:-1]] = True
                 sig, node = sig[keep], node[keep]
@@ -283,22 +299,26 @@ def buckets(
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sigs, nodes, held = -1, [], [], 0
+        known: list[np.ndarray] = []  # signatures of the shard that were large before
 
         def close(last: bool) -> Iterator[pa.RecordBatch]:
             """Rows of the shard so far; large buckets leave only their leader behind."""
-            nonlocal sigs, nodes, held
+            nonlocal sigs, nodes, held, known
             if not sigs:
                 return
+            known = [np.unique(np.concatenate([np.zeros(0, np.int64), *known]))]
             sig, node, edge = _groups(np.concatenate(sigs), np.concatenate(nodes))
             sigs, nodes, held = [], [], 0
             if last:
-                yield _bucket_rows(sig, node, edge)
+                yield _bucket_rows(sig, node, edge, known[0])
+                known = []
                 return
             sizes = np.diff(edge)
             big = np.repeat(sizes > max(SMALL, 1000), sizes)
             sub_sig, sub_node = sig[big], node[big]
             if len(sub_sig):
-                yield _bucket_rows(*_groups(sub_sig, sub_node))
+                yield _bucket_rows(*_groups(sub_sig, sub_node), known[0])
+                known.append(np.unique(sub_sig))
             rest = ~big
             rest[edge[:-1]] = True
             sigs, nodes, held = [sig[rest]], [node[rest]], int(rest.sum())
@@ -310,6 +330,9 @@ def buckets(
                 if shard != now:
                     yield from close(True)
                     now, limit = shard, _PENDING
+                if b is None:  # signatures that were large in a slice
+                    known.append(np.frombuffer(a, np.int64))
+                    continue
                 node = np.frombuffer(b, np.int64)
                 if c is not None:  # a bucket that was large in its slice
                     yield pa.record_batch(

@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from contactmine.llm import quality
+from contactmine.llm import ngram_join, quality
 from contactmine.llm.exact_dedup import exact_groups
 from contactmine.llm.language import identify_language, train
 from contactmine.llm.line_dedup import PerfectHash, drop_common_lines
@@ -298,3 +299,32 @@ def test_pipeline(spark, sf_dir):
             assert out.columns == docs.columns, name
             docs = materialised(out)
     assert out.count() > 0
+
+
+def test_buckets_keep_stragglers(spark):
+    """Nodes that come after their signature was large in another slice meet all its nodes."""
+    template = " ".join(f"t{k}" for k in range(60))
+    leaf = lambda k: f"{template} " + " ".join(f"o{k}x{i}" for i in range(14))
+    texts = [[template, *map(leaf, range(150))], [leaf(k) for k in range(150, 154)]]
+    apart = spark.sparkContext.parallelize(texts, 2).flatMap(lambda each: [(t,) for t in each])
+    docs = spark.createDataFrame(apart, "text string")
+    differ, overlap = (lambda n: n // 3), (lambda n: -(-3 * n // 4))
+    none = np.zeros(0, ngram_join.U64)
+    found = ngram_join.buckets(docs, 5, none, 16, differ, overlap).collect()
+    pairs = {(r.leader, r.node) for r in found if r.sig is None}
+    large = defaultdict(set)
+    for r in found:
+        if r.sig is not None:
+            large[r.sig].add(r.node)
+    (_, _, part), *_ = ngram_join.slices(pa.array(texts[0] + texts[1]))
+    hashes, first = ngram_join.distinct_sets(*ngram_join.shingles(part, 5))
+    nodes = ngram_join._nodes(hashes, first)
+    want = defaultdict(set)
+    for sig, owner in zip(*ngram_join.signatures(hashes, first, none, differ, overlap), strict=True):
+        want[(int(sig) >> 32) % 16 << 32 | int(sig) & 0xFFFFFFFF].add(int(nodes[owner]))
+    assert max(map(len, want.values())) > ngram_join.TRIM
+    for sig, group in want.items():
+        if len(group) > ngram_join.SMALL:
+            assert group <= large[sig]
+        else:
+            assert {(a, b) for a in group for b in group if a < b} <= pairs
