@@ -20,7 +20,8 @@ to their shard. Small buckets give all their pairs; a large bucket gives only
 stars around its smallest nodes; then, round after round, each node tries the
 nearest nodes of other components that it has not tried (one, then sixteen times
 as many each round), until its members are one component or no pair is left that
-could be linked. Large buckets of the same nodes count once. Pairs are first
+could be linked. A bucket of many nodes is dealt into blocks, and each pair of
+blocks is a group of its own. Large buckets of the same nodes count once. Pairs are first
 tested with bit sketches (whose distance never exceeds the true one), then
 verified on the whole sets.
 """
@@ -32,7 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from contactmine.llm.components import components
 from contactmine.llm.scratch import materialised, shards_for
@@ -45,6 +46,8 @@ TRIM = 64  # in one slice, larger buckets send their smallest node only
 MOST_FREQUENT = 20_000  # shingles that are sorted last
 STAR_ROUNDS = 2
 MOST_BROADCAST = 200_000  # rows of two numbers
+BLOCK = 4096  # nodes of a large bucket that are compared in one task with as many others
+BLOCK_BYTES = 1 << 24
 _PENDING = 1 << 21
 
 
@@ -456,31 +459,62 @@ class _Verifier:
         )
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` of large buckets, once for each pair of blocks (i <= j) of the bucket to be compared.
+
+    A bucket has as many blocks as keep each to some thousand nodes and few MB;
+    ``block`` is the row's own.
+    """
+    weight = F.greatest(F.lit(64), F.col("n") / 2) + 8 * F.coalesce("n_failed", F.lit(0))
+    sizes = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("rows"), F.sum(weight).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    several = sizes.select("sig", blocks.alias("blocks")).where("blocks > 1")
+    dealt = rows.join(several, "sig", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.expr("int(pmod(xxhash64(node, 2L), blocks))"))
+    pairs = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    return pairs.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+
+
 def _nearest(rows: DataFrame, threshold: int, tries: int) -> DataFrame:
     """For each node of a bucket the nearest nodes there of other components.
 
     Nearest by sketch, among those it allows a link with and that have not
     failed with this node already (``failed``): its nearest of all, and the
     ``tries`` nearest that come after it. A row (sig, null) says that pairs of
-    the bucket are left beyond those.
+    the bucket are left beyond those. Pairs of blocks are compared in tasks of
+    their own; what they find nearest is ranked together.
     """
+    names = ["sig", "node", "other", "far", "own"]
 
-    def bucket(sig: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        node, component, n = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:3])
-        failed = [np.array(r[4], np.int64) if r[4] else None for r in rows]
-        words = np.array([len(r[3]) // 8 for r in rows])
+    def compare(sig: int, cross: bool, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        node, component, n, second = (np.array(x) for x in list(zip(*rows, strict=True))[:4])
+        failed = [r[5] for r in rows]
+        words = np.array([len(r[4]) // 8 for r in rows])
         best, partner = np.full(len(node), np.inf), np.full(len(node), -1)
-        tried, left = [], False
+        tried = []
+
+        def found(k: np.ndarray, other: np.ndarray, far: np.ndarray, own: bool) -> pa.RecordBatch:
+            columns = [np.full(len(k), sig), node[k], node[other], far, np.full(len(k), own)]
+            return pa.record_batch([pa.array(c) for c in columns], names)
+
         # Linked sets differ in size by a third at most: in width by one step.
         for width in np.unique(words).tolist():
             own, wide = np.flatnonzero(words == width), np.flatnonzero(words == 2 * width)
+            ends = np.full(len(own), len(own) + len(wide))
+            starts = np.arange(1, len(own) + 1)
+            if cross:  # in the order: first block, second block, wide of the second, wide of the first
+                own = own[np.argsort(second[own], kind="stable")]
+                wide = wide[np.argsort(~second[wide], kind="stable")]
+                first, later_wide = int((~second[own]).sum()), int(second[wide].sum())
+                starts = np.where(second[own], len(own) + later_wide, first)
+                ends = np.where(second[own], ends, len(own) + later_wide)
             at = np.concatenate([own, wide])
-            bits = [np.frombuffer(b"".join(rows[k][3] for k in x), U64) for x in (own, wide)]
+            bits = [np.frombuffer(b"".join(rows[k][4] for k in x), U64) for x in (own, wide)]
             bits = np.concatenate(
                 [bits[0].reshape(-1, width), _folded(bits[1].reshape(-1, 2 * width), width)]
             )
-            for i, k in enumerate(own.tolist()):
-                later = np.flatnonzero(component[at[i + 1 :]] != component[k]) + i + 1
+            for i, (k, start, end) in enumerate(zip(own.tolist(), starts.tolist(), ends.tolist(), strict=True)):
+                later = np.flatnonzero(component[at[start:end]] != component[k]) + start
                 other = at[later]
                 near = np.abs(n[other] - n[k]) * 100 <= (100 - threshold) * np.maximum(n[other], n[k])
                 if failed[k] is not None:
@@ -493,37 +527,53 @@ def _nearest(rows: DataFrame, threshold: int, tries: int) -> DataFrame:
                     far = apart[ok] / (n[other] + n[k])
                     closer = far < best[other]
                     best[other[closer]], partner[other[closer]] = far[closer], k
-                    if len(other) > tries:
-                        left = True
-                        other = other[np.argpartition(far, tries - 1)[:tries]]
-                    tried.append(np.stack([np.full(len(other), node[k]), node[other]], 1))
+                    if len(other) > tries + 1:  # one more shows that pairs are left
+                        some = np.argpartition(far, tries)[: tries + 1]
+                        other, far = other[some], far[some]
+                    tried.append((np.full(len(other), k), other, far))
+                    if sum(len(t[1]) for t in tried[-64:]) > 1 << 16 or len(tried) > 1 << 12:
+                        yield found(*map(np.concatenate, zip(*tried, strict=True)), True)
+                        tried = []
+        if tried:
+            yield found(*map(np.concatenate, zip(*tried, strict=True)), True)
         some = np.flatnonzero(partner >= 0)
         if len(some):
-            tried.append(np.stack([node[some], node[partner[some]]], 1))
-            pairs = np.unique(np.sort(np.concatenate(tried), axis=1), axis=0)
-            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-        if left:
-            yield pa.record_batch([pa.array([sig]), pa.nulls(1, pa.int64())], ["a", "b"])
+            yield found(some, partner[some], best[some], False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != now and rows:
-                    yield from bucket(now, rows)
+            columns = [batch.column(c).to_pylist() for c in range(8)]
+            lists = batch.column(8)
+            bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for k, (sig, i, j, block, *row) in enumerate(zip(*columns, strict=True)):
+                if (sig, i, j) != now and rows:
+                    yield from compare(now[0], now[1] < now[2], rows)
                     rows = []
-                now = row[0]
-                rows.append(row[1:])
+                now = sig, i, j
+                low, high = bounds[k], bounds[k + 1]
+                # A copy, so that the batch is not kept.
+                failed = values[low:high].copy() if lists[k].is_valid and high > low else None
+                node, component, n, sketch = row
+                rows.append((node, component, n, block == j, sketch, failed))
         if rows:
-            yield from bucket(now, rows)
-
-    return (
-        rows.select("sig", "node", "component", "n", "sketch", "failed")
-        .repartition("sig")
-        .sortWithinPartitions("sig", "node")
-        .mapInArrow(run, "a long, b long")
-        .distinct()
+            yield from compare(now[0], now[1] < now[2], rows)
+
+    each = (
+        _blocks(rows)
+        .select("sig", "i", "j", "block", "node", "component", "n", "sketch", "failed")
+        .repartition("sig", "i", "j")
+        .sortWithinPartitions("sig", "i", "j", "node")
+        .mapInArrow(run, "sig long, node long, other long, far double, own boolean")
     )
+    rank = F.row_number().over(Window.partitionBy("sig", "node", "own").orderBy("far", "other"))
+    most = F.when(F.col("own"), tries + 1).otherwise(1)
+    ranked = each.withColumn("rank", rank).where(F.col("rank") <= tries + 1).where(F.col("rank") <= most)
+    a, b = F.least("node", "other"), F.greatest("node", "other")
+    left = F.col("rank") > tries
+    return ranked.select(
+        F.when(left, F.col("sig")).otherwise(a).alias("a"), F.when(~left, b).alias("b")
+    ).distinct()
 
 
 def similar_groups(
@@ -625,6 +675,7 @@ def similar_groups(
             once = reduce(DataFrame.union, failed)
             by_node = once.selectExpr("a AS node", "b AS other").union(once.selectExpr("b", "a"))
             by_node = by_node.groupBy("node").agg(F.collect_set("other").alias("failed"))
+            by_node = materialised(by_node.withColumn("n_failed", F.size("failed")))
             rows_of_buckets = large.join(nodes, "node").join(by_node, "node", "left")
             near = materialised(_nearest(rows_of_buckets, threshold, tries))
             tries *= 16

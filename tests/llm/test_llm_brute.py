@@ -328,3 +328,40 @@ def test_buckets_keep_stragglers(spark):
             assert group <= large[sig]
         else:
             assert {(a, b) for a in group for b in group if a < b} <= pairs
+
+
+@pytest.mark.parametrize("block", [1, 7, 4096])
+def test_nearest_in_blocks(spark, monkeypatch, block):
+    """Every pair that the sketches allow is tried, and no group holds more than two blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(5)
+    base = [f"b{k}" for k in range(120)]
+    texts = [" ".join([*base, *(f"o{k}x{i}" for i in range(rng.choice([3, 30, 60])))]) for k in range(40)]
+    table = ngram_join.set_table(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 5)
+    nodes = {r.node: (r.n, np.frombuffer(r.sketch, ngram_join.U64)) for r in table.where("sketch IS NOT NULL").collect()}
+    names = sorted(nodes)
+    gone = [(names[0], names[1])]
+    rows = [
+        (7, k, k % 3, nodes[k][0], bytes(nodes[k][1]), *(([names[1]], 1) if k == names[0] else ([names[0]], 1) if k == names[1] else (None, None)))
+        for k in names
+    ]
+    frame = spark.createDataFrame(
+        rows, "sig long, node long, component long, n long, sketch binary, failed array<long>, n_failed int"
+    )
+    want = set()
+    for a in names:
+        for b in names:
+            if a < b and a % 3 != b % 3 and (a, b) not in gone:
+                (an, abits), (bn, bbits) = nodes[a], nodes[b]
+                width = min(len(abits), len(bbits))
+                apart = np.bitwise_count(ngram_join._folded(abits, width) ^ ngram_join._folded(bbits, width)).sum()
+                if abs(an - bn) * 100 <= 25 * max(an, bn) and ngram_join._allowed(apart, an + bn, 75):
+                    want.add((a, b))
+    assert len(want) > 50
+    assert {tuple(r) for r in ngram_join._nearest(frame, 75, 100).collect()} == want
+    some = {tuple(r) for r in ngram_join._nearest(frame, 75, 1).collect()}
+    assert (7, None) in some and some - {(7, None)} < want
+    met = {x for pair in some if pair[1] is not None for x in pair}
+    assert met == {x for pair in want for x in pair}
+    groups = ngram_join._blocks(frame).groupBy("i", "j").count().collect()
+    assert len(groups) > (len(rows) // block) ** 2 // 4
