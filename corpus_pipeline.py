@@ -20,9 +20,28 @@ from contactmine.llm.quality import fit_quality, quality_verdicts
 from contactmine.llm.scratch import documents, materialised
 
 
-def _decided(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """``docs`` with the columns of ``verdicts`` (one row per distinct ``_id``)."""
-    return docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["_id"])).drop("_id")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``, 128 bits of all columns: rows that share it are alike in every column."""
+    values = []
+    for field in docs.schema.fields:
+        plain = "map<" not in field.dataType.simpleString()
+        values.append(F.col(field.name) if plain else F.to_json(F.struct(field.name)))
+        values.append(F.col(field.name).isNull())
+    halves = [F.hex(F.xxhash64(F.lit(seed), *values)) for seed in (1, 2)]
+    return docs.withColumn("_key", F.concat_ws("-", *halves))
+
+
+def _decided(keyed: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` as many times as ``verdicts`` say: ``_key``, ``_rows`` that share it, ``_times`` in all.
+
+    Which of the rows that share a key stay makes no difference, as they are alike.
+    Texts of keys that only one row has are not shuffled for it.
+    """
+    columns = [c for c in keyed.columns if c != "_key"]
+    verdicts = materialised(verdicts.where("_times > 0"))
+    one, more = (keyed.join(verdicts.where(w), "_key") for w in ("_rows = 1", "_rows > 1"))
+    each = one.unionByName(more.dropDuplicates(["_key"]))
+    return each.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,18 +66,33 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
-    groups = similar_groups(docs)
-    stay = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return _decided(docs, stay)
+    """One row of each group of near duplicates stays, one with the smallest id.
+
+    A null id is never the smallest unless all are null; of several rows with the
+    smallest id the one with the smallest key stays. Rows without words are in no
+    group, and all stay.
+    """
+    keyed = _keyed(docs)
+    groups = similar_groups(keyed, "_key").groupBy("doc_id").agg(
+        F.first("component_id").alias("_group"), F.max("n_shingles").alias("_n"), F.count(F.lit(1)).alias("_rows")
+    )
+    ids = keyed.groupBy("_key").agg(F.first("doc_id").alias("_id"))
+    named = groups.withColumnRenamed("doc_id", "_key").join(ids, "_key")
+    named = materialised(named)
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")
+    first = named.where("_n > 0").groupBy("_group").agg(F.min_by(F.struct("_key", "_rows"), order).alias("r"))
+    stay = first.select("r._key", "r._rows", F.lit(1).cast("long").alias("_times"))
+    wordless = named.where("_n = 0").select("_key", "_rows", F.col("_rows").alias("_times"))
+    return _decided(keyed, stay.union(wordless))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as many times as the mix takes them, some not at all."""
-    copies = mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    columns = docs.columns
-    taken = _decided(docs, copies.dropDuplicates(["_id"]))
-    return taken.select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+    """Rows come as many times as the mix takes them, some not at all."""
+    keyed = _keyed(docs)
+    copies = mix_sources(keyed, "_key").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("copies").alias("_times")
+    )
+    return _decided(keyed, copies.withColumnRenamed("doc_id", "_key"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

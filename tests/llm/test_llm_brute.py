@@ -365,3 +365,32 @@ def test_nearest_in_blocks(spark, monkeypatch, block):
     assert met == {x for pair in want for x in pair}
     groups = ngram_join._blocks(frame).groupBy("i", "j").count().collect()
     assert len(groups) > (len(rows) // block) ** 2 // 4
+
+
+def test_pipeline_decides_by_row(spark):
+    """Repeated rows, rows that share an id and rows with null ids, against what each row is worth."""
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    prose = lambda n: " ".join(f"p{rng.randrange(10**6)}" for _ in range(n))
+    a, b, c, d, e = (prose(30) for _ in range(5))
+    rows = [(5, a)] * 3 + [(7, b), (7, a), (8, b), (None, c), (None, c), (None, d), (9, d), (None, e)]
+    rows += [(3, ""), (3, ""), (None, None), (None, None)]
+    table = spark.createDataFrame([(k, t, "s", len(t or "")) for k, t in rows], "doc_id long, text string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, table, "")
+    assert kept.columns == table.columns
+    wordless = [(3, ""), (3, ""), (None, None), (None, None)]
+    assert _rows(kept, "doc_id", "text") == Counter([(5, a), (7, b), (None, c), (9, d), (None, e), *wordless])
+
+    words = [(k if k % 3 else None, prose(5 + k % 11)) for k in range(60)] + [(1, prose(9))] * 20
+    table = spark.createDataFrame([(k, t, f"s{len(t) % 2}") for k, t in words], "doc_id long, text string, source string")
+    taken = corpus_pipeline.source_mix(spark, table, "")
+    drawn = mix_sources(corpus_pipeline._keyed(table), "_key").groupBy("source").agg({"taken": "sum"}).collect()
+    got = Counter()
+    for r in taken.collect():
+        got[r.source] += len(r.text.split())
+    assert got == Counter({r[0]: r[1] for r in drawn})
+    times = Counter(r.text for r in taken.collect())
+    there = Counter(t for _, t in words)
+    assert all(times[t] <= 2 * there[t] for t in times)
+    assert _rows(taken, "doc_id", "text") == _rows(corpus_pipeline.source_mix(spark, table.repartition(3), ""), "doc_id", "text")
