@@ -4,11 +4,13 @@ Values with a fixed form (e-mail, IP, card, phone) are found by pattern: they ar
 the protected entities. How much another term gives away about one of them is
 estimated from the corpus: the pointwise mutual information of term and entity,
 as a share of the entity's own information, PMI(t; e) / IC(e). It is 1 when the
-term never occurs without the entity. Terms beside an entity (in its line) that
-exceed the threshold are generalised, or removed if they give away nearly all.
+term never occurs without the entity. Terms of the same documents that exceed the
+threshold are generalised, or removed if they give away nearly all, wherever they
+stand, in documents without the entity too.
 
-Everything is DataFrame functions. Texts are not shuffled: spans, and the words
-of lines that hold an entity, leave the scan as narrow rows.
+Everything is DataFrame functions. Spans and distinct words leave the scan as
+narrow rows; words too frequent or too rare to reach the threshold are dropped
+before they meet the entities. Texts move only where they meet their own terms.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ PATTERNS = {
 _NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 _WORD = r"[\p{L}\p{N}]+"
 
-SUPPORT = 5  # different lines in which term and entity must meet
+SUPPORT = 5  # different texts in which term and entity must meet
 GENERALISE = 0.9  # share of the entity's information
 REMOVE = 0.97
 _SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -110,97 +112,112 @@ def _marked(kind: str, spans: Column) -> Column:
     )
 
 
-def _mentions(base: DataFrame) -> DataFrame:
-    """``_key``, ``entity``, ``line``, ``term``, ``start``, ``end``: words in lines with an entity."""
-    entities = F.concat(*[_named(kind, F.col(kind)) for kind in PATTERNS])
-    each = base.select("_key", "_text", F.explode(entities).alias("e"))
-    before = F.substring_index(F.expr("substring(_text, 1, e.start)"), "\n", -1)
-    after = F.substring_index(F.expr("substring(_text, e.end + 1)"), "\n", 1)
-    value = F.when(F.col("e.kind") == "email", F.lower("e.value")).otherwise(F.col("e.value"))
-    entity = F.concat_ws(":", "e.kind", value)
-    lines = each.select(
-        "_key",
-        entity.alias("entity"),
-        (F.col("e.start") - F.char_length(before)).alias("from"),
-        F.concat(before, "e.value", after).alias("line"),
-    )
-    words = lines.select(
-        "_key", "entity", "from", F.xxhash64("line").alias("line"), F.explode(found(F.col("line"), _WORD)).alias("w")
-    )
-    return words.select(
-        "_key",
-        "entity",
-        "line",
-        F.lower("w.value").alias("term"),
-        (F.col("from") + F.col("w.start")).alias("start"),
-        (F.col("from") + F.col("w.end")).alias("end"),
-    ).where((F.char_length("term") >= 3) & F.col("term").rlike(r"\p{L}"))
+def _terms(rows: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and ``term``: the distinct words of each text, three characters and a letter at least."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(_WORD), F.lit(0)))
+    each = rows.select(*keys, F.explode(words).alias("term"))
+    return each.where((F.char_length("term") >= 3) & F.col("term").rlike(r"\p{L}"))
+
+
+def _entities(base: DataFrame) -> DataFrame:
+    """``_copy``, ``entity``: the distinct entities of each row."""
+    named = F.concat(*[_named(kind, F.col(kind)) for kind in PATTERNS])
+    value = lambda e: F.when(e["kind"] == "email", F.lower(e["value"])).otherwise(e["value"])
+    names = F.transform(named, lambda e: F.concat_ws(":", e["kind"], value(e)))
+    return base.select("_copy", F.explode(F.array_distinct(names)).alias("entity"))
 
 
 def disclosing_terms(
-    docs: DataFrame, mentions: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE
+    docs: DataFrame, entities: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE
 ) -> DataFrame:
     """``entity``, ``term``, ``share``: terms that give away so much of an entity.
 
-    ``docs`` has ``_text``. Counts are documents, over all of them; a term counts
-    only where it meets the entity in ``support`` different lines, so that copies
-    of one document are no evidence.
+    ``docs`` has ``_text`` and ``_copy``, which texts share that are equal. Counts
+    are documents, over all of them; a term counts only where it meets the entity in
+    ``support`` different texts, so that copies of one document are no evidence.
     """
-    joint = materialised(
-        mentions.groupBy("entity", "term")
-        .agg(F.countDistinct("line").alias("lines"), F.countDistinct("_key").alias("both"))
-        .where(F.col("lines") >= support)
-        .select("entity", "term", "both")
-    )
-    per_entity = mentions.groupBy("entity").agg(F.countDistinct("_key").alias("with_entity"))
-    words = docs.select(
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(_WORD), F.lit(0)))).alias("term")
+    total = float(max(docs.count(), 2))
+    where = materialised(entities.groupBy("entity", "_copy").agg(F.count(F.lit(1)).alias("rows")))
+    per_entity = materialised(
+        where.groupBy("entity")
+        .agg(F.sum("rows").alias("with_entity"), F.count(F.lit(1)).alias("texts"))
+        .where(F.col("texts") >= support)
+        .withColumn("own", F.log(F.lit(total) / F.col("with_entity")))
+        # With more documents than that a term stays below the threshold.
+        .withColumn("most", F.col("with_entity") * F.exp((1 - threshold) * F.col("own")) * (1 + 1e-9))
+        .select("entity", "with_entity", "own", "most")
     )
-    with_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    total = docs.count()
-    # Rows of one key are counted once in both; so never more than with_term.
-    own = F.log(F.lit(float(max(total, 2))) / F.col("with_entity"))
-    mutual = own + F.log(F.least(F.col("both") / F.col("with_term"), F.lit(1.0)))
+    most = per_entity.agg(F.max("most")).first()[0] or 0.0
+    where = materialised(where.join(per_entity, "entity"))
+    with_term = _terms(docs).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    with_term = with_term.where((F.col("with_term") >= support) & (F.col("with_term") <= most))
+    beside = _terms(docs.join(where.select("_copy").distinct(), "_copy", "left_semi"), "_copy").distinct()
+    beside = materialised(beside)
+    enough = beside.groupBy("term").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
+    beside = beside.join(materialised(with_term.join(enough.select("term"), "term")), "term")
+    mutual = F.col("own") + F.log(F.col("both") / F.col("with_term"))
     return (
-        joint.join(with_term, "term")
-        .join(per_entity, "entity")
-        .withColumn("share", F.when(own > 0, mutual / own).otherwise(F.lit(0.0)))
+        where.join(beside, "_copy")
+        .where(F.col("with_term") <= F.col("most"))
+        .groupBy("entity", "term", "own", "with_term")
+        .agg(F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts"))
+        .where(F.col("texts") >= support)
+        .withColumn("share", F.when(F.col("own") > 0, mutual / F.col("own")).otherwise(F.lit(0.0)))
         .where(F.col("share") >= threshold)
         .select("entity", "term", "share")
     )
 
 
+def _occurrences(text: Column, terms: Column) -> Column:
+    """Spans of the words of ``text`` that the map ``terms`` names, with what they become."""
+    pieces = F.arrays_zip(
+        F.split(text, _WORD, -1).alias("gap"),
+        F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("value"),
+    )
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+
+    def step(so_far: Column, piece: Column) -> Column:
+        start = so_far["at"] + F.char_length(piece["gap"])
+        end = start + F.char_length(piece["value"])
+        becomes = F.element_at(terms, F.lower(piece["value"]))
+        span = F.struct(start.alias("start"), end.alias("end"), becomes.alias("value"))
+        spans = F.when(becomes.isNull(), so_far["spans"]).otherwise(F.array_append(so_far["spans"], span))
+        return F.when(piece["value"].isNull(), so_far).otherwise(F.struct(end.alias("at"), spans.alias("spans")))
+
+    return F.aggregate(pieces, begin, step, lambda done: done["spans"])
+
+
 def private_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``_key``, arrays ``email``, ``ip``, ``card``, ``phone``, ``term``.
 
     Spans are (start, end, value) in code points, end exclusive; of ``term`` the
     value is what the term becomes: ``[term]`` if generalised, empty if removed.
-    Terms never overlap an entity. Null text is empty; a repeated row counts once as
-    evidence and gets the same spans; null ids are ids like any other; other columns
-    are ignored; an empty table gives an empty table.
+    A term that gives an entity away goes wherever it stands, in all rows, but
+    terms never overlap an entity. Null text is empty; a repeated row gets the same
+    spans; null ids are ids like any other; other columns are ignored; an empty
+    table gives an empty table.
     """
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")
-    ).withColumn("_key", F.xxhash64("doc_id", "_text"))
-    spans = rows.select("doc_id", "_key", "_text", *[entity_spans(F.col("_text"), k).alias(k) for k in PATTERNS])
-    base = materialised(spans.drop("_text"))
-    some = reduce(Column.__or__, [F.size(k) > 0 for k in PATTERNS])
-    mentions = materialised(_mentions(spans.where(some)))
-    terms = materialised(disclosing_terms(rows, mentions))
-    hits = (
-        mentions.join(terms, ["entity", "term"])
-        .groupBy("_key", "start", "end")
-        .agg(F.max("share").alias("share"))
-        .select(
-            "_key",
-            F.struct(
-                F.col("start").cast("int").alias("start"),
-                F.col("end").cast("int").alias("end"),
-                F.when(F.col("share") >= REMOVE, "").otherwise("[term]").alias("value"),
-            ).alias("hit"),
-        )
+    ).withColumns({"_key": F.xxhash64("doc_id", "_text"), "_copy": F.xxhash64("_text")})
+    base = materialised(
+        rows.select("doc_id", "_key", "_copy", *[entity_spans(F.col("_text"), k).alias(k) for k in PATTERNS])
+    )
+    terms = materialised(
+        disclosing_terms(rows, _entities(base))
+        .groupBy("term")
+        .agg(F.when(F.max("share") >= REMOVE, "").otherwise("[term]").alias("value"))
+    )
+    held = materialised(
+        _terms(rows, "_key")
+        .join(terms, "term")
         .groupBy("_key")
-        .agg(F.array_sort(F.collect_list("hit")).alias("_hits"))
+        .agg(F.map_from_entries(F.collect_set(F.struct("term", "value"))).alias("_terms"))
+    )
+    hits = (
+        rows.join(held, "_key")
+        .select("_key", _occurrences(F.col("_text"), F.col("_terms")).alias("_hits"))
+        .dropDuplicates(["_key"])
     )
 
     def apart(hit: Column) -> Column:
@@ -209,7 +226,8 @@ def private_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
             [F.exists(k, lambda s: (s["start"] < hit["end"]) & (hit["start"] < s["end"])) for k in PATTERNS],
         )
 
-    joined = base.join(hits, "_key", "left").withColumn("_hits", F.coalesce("_hits", F.array().cast(_SPAN)))
+    joined = base.drop("_copy").join(hits, "_key", "left")
+    joined = joined.withColumn("_hits", F.coalesce("_hits", F.array().cast(_SPAN)))
     return joined.withColumn("term", F.filter("_hits", apart)).drop("_hits")
 
 

@@ -394,3 +394,20 @@ def test_pipeline_decides_by_row(spark):
     there = Counter(t for _, t in words)
     assert all(times[t] <= 2 * there[t] for t in times)
     assert _rows(taken, "doc_id", "text") == _rows(corpus_pipeline.source_mix(spark, table.repartition(3), ""), "doc_id", "text")
+
+
+def test_terms_of_the_whole_document(spark):
+    """A signature block, the same in many documents, and its name elsewhere; copies are no evidence."""
+    rng = random.Random(4)
+    prose = lambda: " ".join(f"w{rng.randrange(40)}x" for _ in range(30))
+    texts = [prose() for _ in range(200)]
+    for k in range(0, 200, 20):
+        texts[k] = f"Quirrell first\n{texts[k]}\nQuirrell\nContact: jane@x.org"
+    texts[7] += "\nas quirrell said"
+    texts += ["Solitary\nbob@y.org " + prose()] * 9
+    docs = spark.createDataFrame([(k, t, None, None, None, None) for k, t in enumerate(texts)], SCHEMA)
+    out = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.term] for r in private_spans(docs).collect()}
+    for k in range(0, 200, 20):
+        assert out[k] == ["Quirrell", "first", "Quirrell", "Contact"]
+    assert out[7] == ["quirrell"]
+    assert not any(out[k] for k in out if k >= 200 or k % 20 and k != 7)
