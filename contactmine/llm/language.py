@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contactmine.llm.textbytes import BYTE, LOWER, Texts, mix, slices, span_hashes
 
-PER_LANGUAGE = 400  # documents of the training sample
-LANGUAGES = 200  # the most frequent values of lang that are learned
+PER_LANGUAGE = 400  # documents of the training sample, fewer where there are many languages
+SAMPLE = 80_000  # documents of all languages together; every language has one at least
 BUCKETS = 1 << 14
 NGRAMS = (2, 3, 4)
 _OPEN, _CLOSE = 60, 62  # < and >
@@ -62,7 +62,8 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 @dataclass
 class LanguageModel:
     names: list[str]
-    table: np.ndarray  # buckets x languages: embedding times output layer
+    table: np.ndarray  # buckets x width: embedding; or that times the output layer, if narrower
+    outer: np.ndarray | None  # width x languages: output layer, unless in the table
     bias: np.ndarray
     temperature: float
     least: float  # calibrated score of rejected rows
@@ -72,10 +73,12 @@ class LanguageModel:
         words = span_hashes(LOWER[part.data], starts, ends)
         _, at, inverse = np.unique(words, return_index=True, return_inverse=True)
         grams, edge = _word_grams(part.data, starts[at], ends[at])
-        sums = _sums(self.table[grams], edge)
-        counts = np.diff(edge).astype(float)[:, None]
-        whole = _sums(np.concatenate([sums, counts], axis=1)[inverse], first)
-        return whole[:, :-1] / np.maximum(whole[:, -1:], 1) + self.bias
+        counts = _sums(np.diff(edge).astype(float)[inverse, None], first)
+        # A few columns at a time: n-grams take many times the memory of the text.
+        few = [self.table[:, c : c + 4] for c in range(0, self.table.shape[1], 4)]
+        whole = np.concatenate([_sums(_sums(columns[grams], edge)[inverse], first) for columns in few], axis=1)
+        mean = whole / np.maximum(counts, 1)
+        return (mean if self.outer is None else mean @ self.outer) + self.bias
 
     def predict(self, part: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language and its calibrated probability."""
@@ -105,6 +108,7 @@ def train(
     label = np.searchsorted(names, langs)
     rng = np.random.default_rng(seed)
     kept_out = np.arange(len(texts)) % 5 == 4
+    kept_out &= np.bincount(label[~kept_out], minlength=len(names))[label] > 0
     learn = np.flatnonzero(~kept_out)
     inner = rng.normal(0, 0.1, (BUCKETS, width))
     outer = np.zeros((width, len(names)))
@@ -124,7 +128,8 @@ def train(
             bias -= 0.1 * pace * error
             # A bucket seldom met would hardly move by its share of one text alone.
             inner[where] -= pace * 20 * np.outer(share, back)
-    model = LanguageModel(names, inner @ outer, bias, 1.0, 0.0)
+    layers = (inner, outer) if len(names) > width else (inner @ outer, None)
+    model = LanguageModel(names, *layers, bias, 1.0, 0.0)
     test = np.flatnonzero(kept_out)
     if len(test):
         logits = np.concatenate([model.logits(part) for part in parts])[test]
@@ -140,20 +145,20 @@ def train(
 
 
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> pa.Table:
-    """Texts and languages: of each language so many rows, the smallest hashes of ids."""
+    """Texts and languages: of every language so many rows at most, the smallest hashes of ids."""
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     ).where(~held_out(F.col("doc_id")))
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    languages = max(1, usable.select("lang").distinct().count())
+    per_language = max(1, min(per_language, SAMPLE // languages))
     rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         usable.select("doc_id", "lang")
-        .join(F.broadcast(common.select("lang")), "lang")
         .withColumn("r", F.row_number().over(rank))
         .where(F.col("r") <= per_language)
     )
-    texts = usable.join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"])
-    found = texts.select("doc_id", "lang", "text").limit(per_language * LANGUAGES).toArrow()
+    texts = usable.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    found = texts.select("doc_id", "lang", "text").limit(per_language * languages).toArrow()
     return found.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 

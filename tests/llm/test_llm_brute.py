@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from contactmine.llm import ngram_join, quality
 from contactmine.llm.exact_dedup import exact_groups
-from contactmine.llm.language import identify_language, train
+from contactmine.llm.language import identify_language, train, training_sample
 from contactmine.llm.line_dedup import PerfectHash, drop_common_lines
 from contactmine.llm.mixing import fly, mix_sources
 from contactmine.llm.ngram_join import similar_groups
@@ -411,3 +411,14 @@ def test_terms_of_the_whole_document(spark):
         assert out[k] == ["Quirrell", "first", "Quirrell", "Contact"]
     assert out[7] == ["quirrell"]
     assert not any(out[k] for k in out if k >= 200 or k % 20 and k != 7)
+
+
+def test_all_languages_are_learned(spark):
+    rows = [(3 * k + i, f"tongue{k} " * 5, f"l{k:03}") for k in range(230) for i in range(3 if k else 9)]
+    docs = spark.createDataFrame([(10 * i + j, t, n) for i, t, n in rows for j in range(4)], "doc_id long, text string, lang string")
+    sample = training_sample(docs)
+    assert set(sample.column("lang").to_pylist()) == {f"l{k:03}" for k in range(230)}
+    model = train(["alpha beta"] * 4 + ["gamma delta"], ["a"] * 4 + ["b"], epochs=60)
+    assert model.names == ["a", "b"]
+    found = identify_language(spark.createDataFrame([(1, "gamma delta")], "doc_id long, text string"), model)
+    assert found.first().lang_pred == "b"
