@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from contactmine.llm.textbytes import BYTE, LOWER, Texts, mix, slices, span_hashes
+from contactmine.llm.textbytes import LOWER, Texts, mix, slices, span_hashes
 
 PER_LANGUAGE = 400  # documents of the training sample, fewer where there are many languages
 SAMPLE = 80_000  # documents of all languages together; every language has one at least
@@ -39,9 +39,9 @@ def _word_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
     word = np.repeat(np.arange(len(sizes)), sizes)
     inside = np.arange(base[-1]) - base[word]
     source = np.clip(starts[word] + inside - 1, 0, max(len(data) - 1, 0))
-    marked = LOWER[data[source]] if len(data) else np.zeros(0, np.uint64)
-    marked[inside == 0] = BYTE[_OPEN]
-    marked[inside == sizes[word] - 1] = BYTE[_CLOSE]
+    marked = LOWER[data[source]] if len(data) else np.zeros(0, np.uint8)
+    marked[inside == 0] = _OPEN
+    marked[inside == sizes[word] - 1] = _CLOSE
     buckets, owners = [], []
     for n in NGRAMS:
         at = np.flatnonzero(inside + n <= sizes[word])

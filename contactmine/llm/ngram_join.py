@@ -158,22 +158,22 @@ def signatures(
         spread = mix(hashes[at] + level[rows][own].astype(U64))
         part = (spread % parts[own].astype(U64)).astype(np.int64)
         cell = base[own] + part
-        filled = np.bincount(cell, minlength=base[-1])
-        rare = np.bincount(cell[~often[at]], minlength=base[-1]) > 0
-        content = np.zeros(base[-1], U64)
-        np.add.at(content, cell, mix(spread))
-        full = np.flatnonzero(filled)
+        # Non-empty parts only: the partition is many times as wide as the set.
+        full, slot = np.unique(cell, return_inverse=True)
+        rare = np.bincount(slot[~often[at]], minlength=len(full)) > 0
+        content = np.zeros(len(full), U64)
+        np.add.at(content, slot, mix(spread))
         row = np.searchsorted(base, full, side="right") - 1
         # Place in the order: parts with a rare feature first, then by number.
-        order = np.argsort(2 * row + ~rare[full], kind="stable")
-        full, row = full[order], row[order]
+        order = np.argsort(2 * row + ~rare, kind="stable")
+        full, row, content = full[order], row[order], content[order]
         filled_parts = np.bincount(row, minlength=len(rows))
         start = np.concatenate([[0], np.cumsum(filled_parts)])
         rank = np.arange(len(full)) - start[row]
         most = differ(sizes[rows])
         keep = rank <= most[row]
         tag = mix((level[rows][row] << 32 | (full - base[row])).astype(U64))
-        out.append(mix(content[full] ^ tag)[keep])
+        out.append(mix(content ^ tag)[keep])
         owners.append(rows[row[keep]])
         # Sets that may agree with a partner in no non-empty part.
         unsafe = filled_parts <= most

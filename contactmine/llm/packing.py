@@ -128,7 +128,7 @@ def pack(
     columns = [c.split()[0] for c in PIECE.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder.of(tokenizer, words=True)
+        encoder = PieceEncoder.of(tokenizer, "word")
         packer = Packer(size, windows)
         part = TaskContext.get().partitionId()
         sequence = part << 32

@@ -16,7 +16,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from contactmine.llm.textbytes import (
-    BYTE,
     SPACE,
     Texts,
     mix,
@@ -24,6 +23,7 @@ from contactmine.llm.textbytes import (
     rows_of,
     slices,
     span_hashes,
+    window_hashes,
     window_starts,
 )
 
@@ -65,11 +65,11 @@ def statistics(part: Texts) -> tuple[np.ndarray, np.ndarray]:
 
     word_chars = per_text(_HEAD[part.data] & ~SPACE[part.data])
     symbols = per_text(SYMBOLS[part.data])
-    words = span_hashes(BYTE[part.data], starts, ends)
+    words = span_hashes(part.data, starts, ends)
     tagged = mix(words + mix(rows))  # equal words of one text only
     again = np.bincount(rows[repeated(tagged)], minlength=size)
     at = window_starts(first, 3)
-    windows = span_hashes(words, at, at + 3)
+    windows = window_hashes(words, 3)[at]
     twice = at[repeated(mix(windows + mix(rows[at])))]
     hit = np.zeros(len(words), bool)
     for shift in range(3):
@@ -79,7 +79,7 @@ def statistics(part: Texts) -> tuple[np.ndarray, np.ndarray]:
     own = rows_of(l_first)
     dark = np.concatenate([[0], np.cumsum(~SPACE[part.data])])
     full = dark[l_ends] > dark[l_starts]
-    keys = mix(span_hashes(BYTE[part.data], l_starts[full], l_ends[full]) + mix(own[full]))
+    keys = mix(span_hashes(part.data, l_starts[full], l_ends[full]) + mix(own[full]))
     _, seen = np.unique(keys, return_index=True)
     later = np.ones(len(keys), bool)
     later[seen] = False

@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from contactmine.llm.scratch import shards_for
 from contactmine.llm.textbytes import (
-    BYTE,
     U64,
     mix,
     repeated,
     rows_of,
     slices,
     span_hashes,
+    window_hashes,
     window_starts,
 )
 
@@ -174,8 +174,8 @@ def repeated_windows(docs: DataFrame, length: int = WINDOW) -> DataFrame:
                 at = window_starts(first, length)
                 if not len(at):
                     continue
-                words = span_hashes(BYTE[part.data], starts, ends)
-                hashes = span_hashes(words, at, at + length)
+                words = span_hashes(part.data, starts, ends)
+                hashes = window_hashes(words, length)[at]
                 text = rows_of(first)[at]
                 key = batch.column(0).slice(low, len(part)).to_numpy()[text]
                 begin = at - first[text]

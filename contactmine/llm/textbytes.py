@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -31,37 +31,89 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE = mix(np.arange(256))
-LOWER = BYTE.copy()
-LOWER[65:91] = BYTE[97:123]  # A-Z as a-z
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32  # A-Z as a-z
 
-_BASE = 0xD6E8FEB86659FD93
-_BACK = pow(_BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = []
+_RUN = 1 << 17  # pieces of eight bytes that are hashed at once
+_FRONT = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)  # the first n of eight bytes
+_PLACE = U64(0x9FB21C651E98DF25)
+_LENGTH = U64(0xA24BAED4963EE407)
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, 0 to n at least."""
-    if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 20)
-        up = np.full(size, _BASE, U64)
-        down = np.full(size, _BACK, U64)
-        up[0] = down[0] = 1
-        _powers[:] = [np.cumprod(up), np.cumprod(down)]
-    return _powers[0], _powers[1]
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number, zeros after the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``values[start:end]`` for each span, in linear time.
+def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Spans ``[low, high)`` of some eights each, the first eight of each span (and the end),
+    the span of every eight and its number there. An empty span has one eight.
+    """
+    edge = np.concatenate([[0], np.cumsum(np.maximum((lengths + 7) >> 3, 1))])
+    low = 0
+    while low < len(lengths):
+        high = int(np.searchsorted(edge, edge[low] + _RUN, side="right")) - 1
+        high = min(max(high, low + 1), len(lengths))
+        first = edge[low : high + 1] - edge[low]
+        own = np.repeat(np.arange(high - low), np.diff(first))
+        yield low, high, first, own, np.arange(first[-1]) - first[own]
+        low = high
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes ``data[start:end]`` for each span, in linear time.
 
-    Equal spans have equal hashes wherever they stand: prefix sums of a
-    polynomial, divided by the power at the start.
+    Every eight bytes are mixed with their place in the span, so that the sum
+    depends on the order in no linear way; equal spans have equal hashes wherever
+    they stand. Memory beyond the result is bounded but for a single long span.
     """
-    up, down = _tables(len(values))
-    sums = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    plain = (sums[ends] - sums[starts]) * down[starts]
-    return mix(plain + (ends - starts).astype(U64) * U64(0xA24BAED4963EE407))
+    wide, lengths = _eights(data), ends - starts
+    out = np.empty(len(starts), U64)
+    for low, high, first, own, inside in _runs(lengths):
+        left = np.clip(lengths[low:high][own] - 8 * inside, 0, 8)
+        eight = wide[starts[low:high][own] + 8 * inside] & _FRONT[left]
+        mixed = mix(eight ^ mix(inside.astype(U64) * _PLACE))
+        out[low:high] = np.add.reduceat(mixed, first[:-1])
+    return mix(out + lengths.astype(U64) * _LENGTH)
+
+
+def same_spans(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+    other: np.ndarray, others: np.ndarray, other_ends: np.ndarray,
+) -> bool:
+    """Whether each span of ``data`` holds the same bytes as its partner in ``other``."""
+    lengths = ends - starts
+    if not np.array_equal(lengths, other_ends - others):
+        return False
+    one, two = _eights(data), _eights(other)
+    for low, high, _, own, inside in _runs(lengths):
+        front = _FRONT[np.clip(lengths[low:high][own] - 8 * inside, 0, 8)]
+        a = one[starts[low:high][own] + 8 * inside] & front
+        if (a != two[others[low:high][own] + 8 * inside] & front).any():
+            return False
+    return True
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(mix(a + _LENGTH) * _PLACE + b)
+
+
+def window_hashes(values: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every ``length`` consecutive values, by doubling: one per place where they fit."""
+    count = len(values) - length + 1
+    if count <= 0:
+        return np.zeros(0, U64)
+    out, done, power, width = None, 0, values, 1
+    while True:
+        if length & width:
+            part = power[done : done + count]
+            out = part if out is None else _joined(out, part)
+            done += width
+        if done == length:
+            return mix(out + U64(length))
+        power = _joined(power[:-width], power[width:])
+        width *= 2
 
 
 class Texts:
@@ -122,6 +174,8 @@ def slices(
         first = offsets[low]
         yield low, high, Texts(data[first : offsets[high]], offsets[low : high + 1] - first)
         low = high
+    # What earlier batches took goes back to the system: workers outlive tasks.
+    pa.default_memory_pool().release_unused()
 
 
 def rows_of(first: np.ndarray) -> np.ndarray:
@@ -164,8 +218,15 @@ def shingles(part: Texts, length: int) -> tuple[np.ndarray, np.ndarray]:
     counts = np.diff(first)
     many = np.where(counts >= length, counts - length + 1, np.minimum(counts, 1))
     base = np.concatenate([[0], np.cumsum(many)])
-    at = np.repeat(first[:-1] - base[:-1], many) + np.arange(base[-1])
-    return span_hashes(words, at, np.minimum(at + length, np.repeat(first[1:], many))), base
+    out = np.empty(base[-1], U64)
+    out[np.repeat(counts >= length, many)] = window_hashes(words, length)[window_starts(first, length)]
+    few = np.flatnonzero((counts > 0) & (counts < length))
+    whole = counts[few].astype(U64)
+    for k in range(length - 1):
+        more = counts[few] > k
+        whole[more] = _joined(whole[more], words[first[few[more]] + k])
+    out[base[few]] = whole
+    return out, base
 
 
 def distinct_sets(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -34,7 +34,7 @@ def token_counts(
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder.of(tokenizer, words=False)
+        encoder = PieceEncoder.of(tokenizer, "byte")
         for batch in batches:
             for low, high, part in slices(batch.column(1)):
                 tokens = encoder.counts(part)
