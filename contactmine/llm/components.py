@@ -28,11 +28,12 @@ def components(links: DataFrame) -> DataFrame:
     links = links.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").where("u <> v").distinct()
     links = materialised(links)
     mark = F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    before = None
-    while True:
+    before = links.agg(*mark).first()
+    while before[0]:
         both = links.union(links.selectExpr("v AS u", "u AS v"))
-        links = materialised(_star(materialised(_star(both, True)), False))
-        now = tuple(links.agg(*mark).first())
+        links = materialised(_star(both, True), 2 * before[0])
+        links = materialised(_star(links, False), 3 * before[0])
+        now = links.agg(*mark).first()
         if now == before:
             break
         before = now

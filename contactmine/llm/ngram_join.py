@@ -393,6 +393,11 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """The components of all links, as a table."""
+    return materialised(components(links), 2 * links.count())
+
+
 class _Verifier:
     """Tests pairs of nodes on their whole sets, which are read once per node."""
 
@@ -434,6 +439,7 @@ class _Verifier:
         """The pairs (a, b) that are linked."""
         threshold = self.threshold
         pairs = materialised(pairs)
+        count = pairs.count()
         self._fetch(pairs)
         asked = _small(pairs)
         sides = [
@@ -455,7 +461,7 @@ class _Verifier:
                 )
 
         return materialised(
-            joined.select("a", "b", "fa", "fb").mapInArrow(compare, "a long, b long")
+            joined.select("a", "b", "fa", "fb").mapInArrow(compare, "a long, b long"), 50 * count
         )
 
 
@@ -639,14 +645,14 @@ def similar_groups(
     pairs = plausible(found)
     first = stars(pairs)
     links = verifier.linked(first)
-    labels = materialised(components(links))
+    labels = _labels(links)
     rest = pairs.select("a", "b")
     for side in "ab":
         label = labels.selectExpr(f"node AS {side}", f"component AS {side}c")
         rest = rest.join(label, side, "left")
     rest = rest.where("ac IS NULL OR bc IS NULL OR ac <> bc").select("a", "b")
     links = links.union(verifier.linked(rest.join(first, ["a", "b"], "left_anti")))
-    labels = materialised(components(links))
+    labels = _labels(links)
     large = large.select("sig", "node").distinct()
     members = large.groupBy("sig").agg(
         F.count("node").alias("n"),
@@ -655,13 +661,15 @@ def similar_groups(
     )
     large = large.join(members.groupBy("n", "s", "x").agg(F.min("sig").alias("sig")).select("sig"), "sig")
     star_rounds, tries, failed = 0, 1, []
+    held = found.count()  # rows of large buckets at most
     while True:
         # Large buckets whose nodes are not one component yet.
         named = large.select("sig", "node").join(labels, "node", "left")
         named = named.select("sig", "node", F.coalesce("component", "node").alias("component"))
         spans = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        large = materialised(named.join(spans.where("lo <> hi").select("sig"), "sig"))
-        if large.isEmpty():
+        large = materialised(named.join(spans.where("lo <> hi").select("sig"), "sig"), held)
+        held = large.count()
+        if not held:
             break
         star_rounds += 1
         if star_rounds <= STAR_ROUNDS:
@@ -687,7 +695,7 @@ def similar_groups(
         failed.append(tried.join(new, ["a", "b"], "left_anti"))
         if not new.isEmpty():
             links = links.union(new)
-            labels = materialised(components(links))
+            labels = _labels(links)
     by_node = nodes.select("node", F.col("doc_id").alias("rep"))
     named = by_node.join(labels, "node", "left")
     smallest = named.groupBy(F.coalesce("component", "node").alias("component")).agg(

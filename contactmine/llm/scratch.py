@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from contactmine.session import shared_dir
 
 
-def materialised(df: DataFrame) -> DataFrame:
+ROWS_A_FILE = 50_000
+
+
+def materialised(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back.
 
     The table cuts the lineage: an executor lost later costs no recomputation,
-    and random or partition-dependent columns are fixed from here on.
+    and random or partition-dependent columns are fixed from here on. ``rows``,
+    about how many narrow rows there are at most, saves writing small tables as
+    very many files: their number then grows with the rows.
     """
+    if rows is not None:
+        df = df.coalesce(rows // ROWS_A_FILE + 1)
     path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
