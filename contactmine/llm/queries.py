@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from contactmine.llm.alignment import align_tokenizers
 from contactmine.llm.exact_dedup import exact_groups
 from contactmine.llm.language import identify_language, train, training_sample
 from contactmine.llm.line_dedup import drop_common_lines
@@ -124,3 +125,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = private_spans(documents(spark, sf_dir))
     return spans.select("doc_id", *[c.alias(name) for name, c in span_columns().items()])
+
+
+@_query("op11_tokenizer_alignment")
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
