@@ -19,6 +19,7 @@ from contactmine.llm.sanitise import private_spans, span_columns
 from contactmine.llm.scratch import documents
 from contactmine.llm.substring_dedup import drop_repeated_windows
 from contactmine.llm.token_counts import token_counts
+from contactmine.llm.variants import spelling_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,3 +135,8 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"),
     )
+
+
+@_query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
