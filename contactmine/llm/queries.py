@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from contactmine.llm.alignment import align_tokenizers
+from contactmine.llm.discriminant import fit_discriminant, score_quality
 from contactmine.llm.exact_dedup import exact_groups
 from contactmine.llm.language import identify_language, train, training_sample
 from contactmine.llm.line_dedup import drop_common_lines
@@ -137,6 +138,12 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op12_quality_classifier")
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_quality(docs, fit_discriminant(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @_query("op13_spelling_variants")
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(documents(spark, sf_dir))
