@@ -115,29 +115,53 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(self.logits(statistics), -40, 40)))
 
 
-def class_sums(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def document_statistics(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``held_out``, ``statistics``: one narrow row per row of ``docs``.
+
+    Null is an empty text, whose statistics are zeros. Very long texts are read
+    whole. Repeated rows and null ids are rows like any other (a null id is not
+    held out); other columns are ignored; an empty table gives an empty table.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, part in slices(batch.column(2)):
+                values = pa.array(transformed_statistics(part).reshape(-1))
+                edges = pa.array(np.arange(high - low + 1, dtype=np.int32) * len(STATISTICS))
+                columns = [batch.column(k).slice(low, high - low) for k in (0, 1)]
+                yield pa.record_batch([*columns, pa.ListArray.from_arrays(edges, values)], names)
+
+    names = ["doc_id", "held_out", "statistics"]
+    kind = docs.schema[id_column].dataType.simpleString()
+    rows = docs.select(F.col(id_column).alias("doc_id"), held_out(F.col(id_column)).alias("held_out"), F.col(text))
+    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, statistics array<double>")
+
+
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, len(STATISTICS))
+
+
+def class_sums(table: DataFrame, labels: DataFrame) -> DataFrame:
     """``label``, ``place``, ``value``: count, sums and products of each class, summed over all its documents.
 
-    Of several labels of one id the smallest counts, and each of its rows.
+    ``table``: statistics of documents. Of several labels of one id the smallest
+    counts, and each of its rows.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
-        .where(~held_out(F.col("doc_id")))
-        .groupBy(F.col("doc_id").alias("_id"))
+        .groupBy("doc_id")
         .agg(F.min("quality").cast("int").alias("label"))
     )
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("text")).join(known, "_id")
+    rows = table.where("NOT held_out").join(known, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = len(STATISTICS) + 1
         total = np.zeros((2, width, width))
         for batch in batches:
             label = batch.column(1).to_numpy()
-            for low, high, part in slices(batch.column(0)):
-                rows = np.column_stack([np.ones(len(part)), transformed_statistics(part)])
-                for k in (0, 1):
-                    own = rows[label[low:high] == k]
-                    total[k] += own.T @ own
+            rows = np.column_stack([np.ones(len(label)), _matrix(batch.column(0))])
+            for k in (0, 1):
+                total[k] += rows[label == k].T @ rows[label == k]
         yield pa.record_batch(
             [
                 pa.array(np.repeat([0, 1], width**2).astype(np.int32)),
@@ -147,7 +171,7 @@ def class_sums(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
             ["label", "place", "value"],
         )
 
-    sums = rows.select("text", "label").mapInArrow(run, "label int, place int, value double")
+    sums = rows.select("statistics", "label").mapInArrow(run, "label int, place int, value double")
     # Decimal sums, so that the order of tasks cannot change the model.
     return sums.groupBy("label", "place").agg(F.sum(F.col("value").cast("decimal(38,12)")).alias("value"))
 
@@ -184,47 +208,31 @@ def fit(sums: np.ndarray, shrink: float = 0.5, ridge: float = 0.05, temper: floa
     return Discriminant(center, scale, np.array(means), np.array(factors), prior, temper)
 
 
-def fit_discriminant(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> Discriminant | None:
+def fit_discriminant(table: DataFrame, labels: DataFrame) -> Discriminant | None:
     """The model of all labelled documents that are not held out."""
     width = len(STATISTICS) + 1
     sums = np.zeros((2, width * width))
-    for row in class_sums(docs, labels, id_column, text).collect():  # two fixed-size tables
+    for row in class_sums(table, labels).collect():  # two tables of a fixed size
         sums[row["label"], row["place"]] = float(row["value"])
     return fit(sums.reshape(2, width, width))
 
 
-def score_quality(
-    docs: DataFrame,
-    model: Discriminant | None,
-    id_column: str = "doc_id",
-    text: str = "text",
-    least: float = 0.3,
-) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted``: one row per row of ``docs``.
+def score_quality(table: DataFrame, model: Discriminant | None, least: float = 0.3) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score``, ``predicted``: one row per row of ``table``, statistics of documents.
 
     ``score`` is 0 to 1, higher where label 1 is likelier; ``predicted`` 1 from
-    ``least`` on. Only the text counts. Null is an empty text, whose statistics are
-    zeros; without a model all scores are 0.5. Very long texts are read whole.
-    Repeated rows and null ids are rows like any other (a null id is not held
-    out); other columns are ignored; an empty table gives an empty table.
+    ``least`` on. Without a model all scores are 0.5.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, part in slices(batch.column(2)):
-                if model is None:
-                    score = np.full(len(part), 0.5)
-                else:
-                    score = np.round(model.scores(transformed_statistics(part)), 9)
-                yield pa.record_batch(
-                    [
-                        *(batch.column(k).slice(low, high - low) for k in (0, 1)),
-                        pa.array(score),
-                        pa.array((score >= least).astype(np.int32)),
-                    ],
-                    ["doc_id", "held_out", "score", "predicted"],
-                )
-
-    kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(F.col(id_column).alias("doc_id"), held_out(F.col(id_column)).alias("held_out"), F.col(text))
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+            values = _matrix(batch.column(2))
+            score = np.round(model.scores(values), 9) if model else np.full(len(values), 0.5)
+            predicted = pa.array((score >= least).astype(np.int32))
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array(score), predicted],
+                ["doc_id", "held_out", "score", "predicted"],
+            )
+
+    kind = table.schema["doc_id"].dataType.simpleString()
+    return table.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")

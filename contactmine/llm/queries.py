@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from contactmine.llm.alignment import align_tokenizers
-from contactmine.llm.discriminant import fit_discriminant, score_quality
+from contactmine.llm.discriminant import document_statistics, fit_discriminant, score_quality
 from contactmine.llm.exact_dedup import exact_groups
 from contactmine.llm.language import identify_language, train, training_sample
 from contactmine.llm.line_dedup import drop_common_lines
@@ -17,7 +17,7 @@ from contactmine.llm.ngram_join import similar_groups
 from contactmine.llm.packing import pack
 from contactmine.llm.quality import fit_quality, quality_verdicts
 from contactmine.llm.sanitise import private_spans, span_columns
-from contactmine.llm.scratch import documents
+from contactmine.llm.scratch import documents, materialised
 from contactmine.llm.substring_dedup import drop_repeated_windows
 from contactmine.llm.token_counts import token_counts
 from contactmine.llm.variants import spelling_variants
@@ -140,8 +140,8 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op12_quality_classifier")
 def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return score_quality(docs, fit_discriminant(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    table = materialised(document_statistics(documents(spark, sf_dir)))
+    return score_quality(table, fit_discriminant(table, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 @_query("op13_spelling_variants")

@@ -12,6 +12,7 @@ from contactmine.llm import textbytes
 from contactmine.llm.discriminant import (
     STATISTICS,
     class_sums,
+    document_statistics,
     fit,
     fit_discriminant,
     score_quality,
@@ -71,7 +72,7 @@ def test_sums(spark, sf_dir):
     x = np.column_stack([np.ones(len(rows)), _statistics([t for t, _ in rows])])
     y = np.array([k for _, k in rows])
     found = np.zeros((2, x.shape[1] ** 2))
-    for r in class_sums(docs.repartition(3), labels).collect():
+    for r in class_sums(document_statistics(docs.repartition(3)), labels).collect():
         found[r.label, r.place] = float(r.value)
     for k in (0, 1):
         assert np.allclose(found[k].reshape(x.shape[1], -1), x[y == k].T @ x[y == k])
@@ -80,8 +81,9 @@ def test_sums(spark, sf_dir):
 def test_scores(spark, sf_dir):
     base = sf_dir.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
-    model = fit_discriminant(docs, labels)
-    df = score_quality(docs, model)
+    table = document_statistics(docs)
+    model = fit_discriminant(table, labels)
+    df = score_quality(table, model)
     assert df.columns == ["doc_id", "held_out", "score", "predicted"]
     got = {r.doc_id: r for r in df.collect()}
     assert len(got) == docs.count()
@@ -94,7 +96,7 @@ def test_scores(spark, sf_dir):
     assert np.mean(good) >= 0.95 and np.mean(bad) >= 0.9
     # Other columns never count.
     changed = docs.selectExpr("doc_id", "text", "'x' AS lang", "'y' AS source")
-    assert {r.doc_id: r.score for r in score_quality(changed, model).collect()} == {k: r.score for k, r in got.items()}
+    assert {r.doc_id: r.score for r in score_quality(document_statistics(changed), model).collect()} == {k: r.score for k, r in got.items()}
 
 
 @pytest.mark.parametrize("parts", [1, 4])
@@ -102,10 +104,12 @@ def test_hostile_rows(spark, parts):
     rows = [(1, None, 0.5, "x", 1), (None, "a b", None, None, None), (2, "", 1.0, "", 0), (2, "", 1.0, "", 0), (3, "w " * 90_000, 0.0, "y", 1)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(parts)
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, None)], "doc_id long, quality int")
-    model = fit_discriminant(docs, labels)
+    table = document_statistics(docs)
+    model = fit_discriminant(table, labels)
     for m in (model, None):
-        got = score_quality(docs, m).collect()
+        got = score_quality(table, m).collect()
         assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
         assert not any(r.held_out for r in got if r.doc_id is None)
-    assert score_quality(spark.createDataFrame([], SCHEMA), None).count() == 0
-    assert fit_discriminant(spark.createDataFrame([], SCHEMA), labels) is None
+    none = document_statistics(spark.createDataFrame([], SCHEMA))
+    assert score_quality(none, None).count() == 0
+    assert fit_discriminant(none, labels) is None
