@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from contactmine.schema import PAGE_SCHEMA
 
@@ -22,10 +22,16 @@ def with_final_url(pages: DataFrame) -> DataFrame:
 
 
 def stream_pages(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    landed_at: str | None = None,
 ) -> DataFrame:
-    """Pages as they arrive in a folder."""
-    reader = spark.readStream.schema(PAGE_SCHEMA)
+    """Pages as they arrive in a folder; ``landed_at`` names a timestamp they carry."""
+    schema = PAGE_SCHEMA
+    if landed_at is not None:
+        schema = T.StructType([*PAGE_SCHEMA.fields, T.StructField(landed_at, T.TimestampType())])
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return with_final_url(reader.parquet(path))

@@ -5,16 +5,19 @@ from __future__ import annotations
 import glob
 from dataclasses import replace
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from contactmine.operators import contacts as C, reports as R
 from contactmine.plans.contacts import extract_contacts
-from contactmine.plans.profiles import SOURCE_B, SOURCE_C
+from contactmine.plans.profiles import SOURCE_A, SOURCE_B, SOURCE_C, source_d
 from contactmine.schema import CONTACT_FIELDS, OUTPUT_LABELS
 from contactmine.session import shared_dir
 from contactmine.sinks import tables as T
 from contactmine.sources.pages import read_pages, single_page, stream_pages
 from contactmine.streaming import contacts as ST
+from contactmine.streaming.ledger import commit, is_committed, ledger
 
 WORDS = ["free", "licen", "ation"]
 PROFILE = replace(SOURCE_B, keywords=WORDS)
@@ -99,7 +102,7 @@ def split_pages(spark, sf_dir, folder, parts):
 def run(spark, incoming, base, **options):
     query = ST.start(spark, incoming, f"{base}/table", f"{base}/checkpoint", PROFILE, **options)
     query.awaitTermination()
-    return spark.read.parquet(f"{base}/table")
+    return ST.appended(spark, f"{base}/table")
 
 
 def as_set(df):
@@ -155,6 +158,68 @@ def test_state_can_be_bounded(spark, sf_dir, tmp_path):
     assert spark.table("bounded").count() == extract_contacts(pages, PROFILE).count()
 
 
+def test_two_streams_append_to_one_table(spark, sf_dir, tmp_path):
+    """Batch 0 of the second stream does not replace batch 0 of the first."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    for k in (0, 1):
+        pages.filter(F.col("page_id") % 2 == k).write.parquet(str(tmp_path / f"in{k}"))
+        ST.start(spark, str(tmp_path / f"in{k}"), str(tmp_path / "table"), str(tmp_path / f"cp{k}"), PROFILE).awaitTermination()
+    both = ST.appended(spark, str(tmp_path / "table"))
+    assert as_set(both) == as_set(C.normalise(extract_contacts(pages, PROFILE)))
+    assert both.select("query_id").distinct().count() == 2
+    entries = ledger(spark, str(tmp_path / "table"))
+    assert entries.agg(F.sum("seen")).first()[0] == pages.count()
+    assert entries.agg(F.sum("contacts")).first()[0] == both.count()
+
+
+def test_uncommitted_batches_are_not_read(spark, sf_dir, tmp_path):
+    """A run that fails before its commit shows nothing; the next one shows its pages once."""
+    incoming, table = str(tmp_path / "in"), str(tmp_path / "out" / "table")
+    pages = split_pages(spark, sf_dir, incoming, 3)
+    tried = []
+
+    def fail(batch_id):
+        tried.append(batch_id)
+        if batch_id == 1:
+            raise RuntimeError("planned")
+
+    with pytest.raises(StreamingQueryException):
+        run(spark, incoming, tmp_path / "out", max_files_per_trigger=1, before_commit=fail)
+    assert tried == [0, 1]
+    written = spark.read.parquet(f"{table}/contacts").select("batch_id").distinct().count()
+    shown = ST.appended(spark, table)
+    assert (written, shown.select("batch_id").distinct().count()) == (2, 1)
+    again = run(spark, incoming, tmp_path / "out", max_files_per_trigger=1)
+    assert as_set(again) == as_set(C.normalise(extract_contacts(pages, PROFILE)))
+
+
+def test_committed_batches_are_left_alone(spark, tmp_path):
+    """A batch that the ledger has already is not written again."""
+    table = str(tmp_path / "table")
+    counts = spark.range(1).selectExpr("1L AS seen", "1L AS contacts", "0L AS rejects")
+    assert not is_committed(spark, table, "q", 0)
+    commit(counts, table, "q", 0)
+    assert is_committed(spark, table, "q", 0)
+    assert not is_committed(spark, table, "q", 1) and not is_committed(spark, table, "r", 0)
+    assert ledger(spark, table).count() == 1
+
+
+@pytest.mark.parametrize("profile", [SOURCE_A, SOURCE_B, SOURCE_C, source_d("h.example.com")])
+def test_rejects_of_every_layout(spark, tmp_path, profile):
+    """A page that cannot be read is set aside with its error, the others stay."""
+    profile = replace(profile, keywords=["free"], final_url_holds=None)
+    body = "<html><body><h1>Ann Lee</h1><div><h2>Profile</h2><div>free</div></div><p>free</p>{}</body></html>"
+    rows = [(k, f"https://h.example.com/profile/a-{k}", body.format("<![broken[x]]>" * (k % 2))) for k in range(6)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "in"))
+    ST.start(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c"), profile).awaitTermination()
+    bad = ST.rejects(spark, str(tmp_path / "t")).collect()
+    assert sorted(r.page_id for r in bad) == [1, 3, 5]
+    assert all("broken" in r.parse_error for r in bad)
+    assert not {r.page_id for r in ST.appended(spark, str(tmp_path / "t")).collect()} & {1, 3, 5}
+    counts = ledger(spark, str(tmp_path / "t")).agg(F.sum("seen"), F.sum("rejects")).first()
+    assert tuple(counts) == (6, 3)
+
+
 def test_progress_counts(spark, sf_dir, tmp_path):
     lines = []
     listener = ST.Progress(every=20, report=lines.append)
