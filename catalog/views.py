@@ -137,12 +137,14 @@ VIEWS = {
           || '</body></html>' AS html
         FROM {part}
     """,
-    # Keywords out of the data: part words, part types, benchmark beginnings; shorter ones first.
+    # Keywords out of the data: part names and their words, part types, benchmark texts; shorter ones first.
     "dim_words": """
         SELECT CAST(length(w) AS INT) AS ord, w AS kw FROM (
-          SELECT DISTINCT substr(p_name, 1, 3) AS w FROM {part}
-          UNION SELECT DISTINCT p_type FROM {part}
-          UNION SELECT DISTINCT substr(text, 1, 12) FROM {benchmark}
-        ) x
+          SELECT p_name AS w FROM {part}
+          UNION SELECT split_part(p_name, ' ', 1) FROM {part}
+          UNION SELECT split_part(p_name, ' ', 2) FROM {part}
+          UNION SELECT p_type FROM {part}
+          UNION SELECT text FROM {benchmark}
+        ) x WHERE w <> ''
     """,
 }

@@ -146,7 +146,9 @@ def by_text(dom: Column, body: Column, label: str) -> Column:
     The elements around the label's first occurrence form one chain; its
     innermost member is the first smallest element of the page.
     """
-    place = F.instr(F.lower(body), F.lit(label.lower()))
+    # The one letter whose lower case is longer than itself would shift all places after it.
+    lowered = F.lower(F.translate(body, "\u0130", "\u0307"))
+    place = F.instr(lowered, F.lit(label.lower()))
     return let(
         place,
         lambda p: F.when(

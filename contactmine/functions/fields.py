@@ -105,12 +105,16 @@ def labelled_block(
 
 def prefix_word_text(dom: Column, body: Column) -> Column:
     """Remainder of the first element that is a prefix word and up to 199 more characters."""
-    pattern = rf"(?i)^(?:{'|'.join(ICON_PREFIXES)})[{WS}]+([^\r\n]+)$"
-    # A longer element cannot match: prefix, white space, under 200 characters.
-    short = F.filter(dom, lambda n: n["t1"] - n["t0"] <= 256)
-    rest = F.transform(
-        short, lambda n: F.regexp_extract(F.coalesce(n["text"], F.lit("")), pattern, 1)
+    words = "|".join(ICON_PREFIXES)
+    pattern = rf"(?i)^(?:{words})[{WS}]++([^\r\n]+)$"
+    # A long element may match if it is mostly white space: its beginning says so,
+    # blank so far, the prefix word and white space, or perhaps a part of the word.
+    head = rf"(?i)^[{WS}]*+(?:(?:{words})[{WS}]|[a-z]{{0,9}}$)"
+    possible = F.filter(
+        dom,
+        lambda n: (n["t1"] - n["t0"] <= 256) | F.substring(body, n["t0"] + 1, F.lit(64)).rlike(head),
     )
+    rest = F.transform(possible, lambda n: F.regexp_extract(D.text_of(body, n), pattern, 1))
     return trim_ws(
         F.get(F.filter(rest, lambda t: F.length(t).between(1, 199)), F.lit(0))
     )

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import sys
+import uuid
+from collections.abc import Iterator, Sequence
+from itertools import islice
+
+import ahocorasick
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contactmine.functions.keywords import keyword_hits
 
+# The scan travels with the job: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def staged(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that later filters use but do not compute again.
@@ -31,6 +40,9 @@ def with_hits(df: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
     )
 
 
+# Keywords of so many characters together go into one automaton, some 100 MB at most.
+AUTOMATON_CHARS = 1 << 20
+
 # Up to this many different keyword beginnings are looked for while scanning.
 _SCAN_ANCHORS = 200
 
@@ -97,19 +109,69 @@ def _candidate_pairs(
     )
 
 
+def _short_list(keywords: DataFrame) -> list[str] | None:
+    """The distinct keywords in lower case, if one automaton can hold them all."""
+    lowered = keywords.select(F.lower("kw").alias("_kw")).where("_kw <> ''").distinct()
+    if (lowered.agg(F.sum(F.length("_kw"))).first()[0] or 0) > AUTOMATON_CHARS:
+        return None
+    return [row["_kw"] for row in lowered.collect()]
+
+
+_automata: dict[str, ahocorasick.Automaton] = {}
+
+
+def _automaton(name: str, words: Sequence[str]) -> ahocorasick.Automaton:
+    """The automaton of a list of keywords, built once in each worker."""
+    if name not in _automata:
+        _automata.clear()
+        automaton = ahocorasick.Automaton()
+        for word in words:
+            automaton.add_word(word, word)
+        if words:
+            automaton.make_automaton()
+        _automata[name] = automaton
+    return _automata[name]
+
+
+def _scanned(texts: DataFrame, words: Sequence[str], key: str, text: str, pairs: bool) -> DataFrame:
+    """Keys with each keyword their text holds, or, without ``pairs``, with the first one found."""
+    name = uuid.uuid4().hex
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _automaton(name, words)
+        for batch in batches:
+            owners, found = [], []
+            for row, body in enumerate(batch.column(1)):
+                matches = (word for _, word in automaton.iter(body.as_py() or "")) if words else iter(())
+                own = set(matches) if pairs else set(islice(matches, 1))
+                owners += [row] * len(own)
+                found += own
+            at = pa.array(owners, pa.int64())
+            yield pa.record_batch([batch.column(0).take(at), pa.array(found, pa.string())], [key, "_kw"])
+
+    kind = texts.schema[key].dataType.simpleString()
+    return texts.select(key, F.lower(text)).mapInArrow(scan, f"`{key}` {kind}, _kw string")
+
+
 def keyword_join(
     texts: DataFrame, keywords: DataFrame, key: str, text: str
 ) -> DataFrame:
     """Every (text, keyword) pair where the text contains the keyword, in any case.
 
-    For keyword tables too long for an expression. Rather than test each text
-    against each keyword, each text gives the stretches that start at its
-    positions; these meet the keywords in an equality join on the first
-    characters and are then compared in full. The text itself is never
-    shuffled, and Spark broadcasts the keywords only if they are small.
+    For keyword tables too long for an expression. One automaton over all keywords
+    runs over each text once: its memory grows with the keywords' characters, not
+    with the texts. It goes out with the tasks only up to ``AUTOMATON_CHARS``
+    characters; more keywords meet stretches of the texts in an equality join on
+    their first characters and are then compared in full. The text itself is
+    never shuffled.
     """
-    pairs = _candidate_pairs(texts, keywords, key, text, "inner")
-    return pairs.select(key, *[pairs[c] for c in keywords.columns]).distinct()
+    words = _short_list(keywords)
+    if words is None:
+        pairs = _candidate_pairs(texts, keywords, key, text, "inner")
+        return pairs.select(key, *[pairs[c] for c in keywords.columns]).distinct()
+    found = _scanned(texts, words, key, text, True).distinct()
+    named = keywords.withColumn("_kw", F.lower("kw")).distinct()
+    return found.join(named, "_kw").select(key, *[named[c] for c in keywords.columns])
 
 
 def keyword_lists(pairs: DataFrame, key: str) -> DataFrame:
@@ -120,4 +182,7 @@ def keyword_lists(pairs: DataFrame, key: str) -> DataFrame:
 
 def keyword_semi(texts: DataFrame, keywords: DataFrame, key: str, text: str) -> DataFrame:
     """Keys of the texts that contain any keyword."""
-    return _candidate_pairs(texts, keywords, key, text, "left_semi").select(key).distinct()
+    words = _short_list(keywords)
+    if words is None:
+        return _candidate_pairs(texts, keywords, key, text, "left_semi").select(key).distinct()
+    return _scanned(texts, words, key, text, False).select(key).distinct()

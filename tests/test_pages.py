@@ -245,3 +245,22 @@ def test_crawl_c_takes_names_from_cards(spark):
     found = spark.createDataFrame([(1, "https://h.example.com/x/1", html)], "page_id long, url string, html string")
     got = clean_contacts(found, directory, SOURCE_C).collect()
     assert [(r.full_name, r.company, r.notes) for r in got] == [("Card Name", "Card Group", "Wash Concepts")]
+
+
+def test_label_after_letters_with_longer_lower_case(spark):
+    """The place of a label is not shifted by letters whose lower case is two characters."""
+    for text in ("II x", "İİ x", "İ" * 8, "🎉 İ x"):
+        html = f"<p>{text}</p><ul><li>COMPANY<li>Acme</ul><div>Beta</div>"
+        assert read(spark, html, lambda d, b: X.label_sibling_text(d, b, "Company")) == "Acme"
+
+
+def test_prefix_word_before_long_white_space(spark):
+    gap = "&nbsp;" * 300
+    for html, want in (
+        (f"<p>Building{gap}North Tower</p>", "North Tower"),
+        (f"<div>{gap}<span>{gap}building \t{gap}North{gap[:60]}Tower{gap}</span></div>", "North" + "\xa0" * 10 + "Tower"),
+        (f"<p>{gap}Rebuilding{gap}North</p>", None),
+        (f"<p>Building{gap}{'x' * 200}</p><p>Company Acme</p>", "Acme"),
+        (f"<p>Building{'x' * 300}</p>", None),
+    ):
+        assert read(spark, f"<html><body>{html}</body></html>", X.prefix_word_text) == want

@@ -348,3 +348,20 @@ def test_keyword_join_agrees_with_brute_force(spark):
     semi = {r.id for r in keyword_semi(t, k, "id", "text").collect()}
     assert semi == {i for i, _ in expected}
     assert keyword_join(t, k.limit(0), "id", "text").count() == 0
+
+
+def test_keyword_join_beyond_one_automaton(spark, monkeypatch):
+    """Lists too long for one automaton give the same pairs; long keywords and texts are read whole."""
+    from contactmine.operators import matching
+
+    long = "the end of a very long keyword " * 40
+    texts = [(1, "x" * 5000 + long.upper() + "!"), (2, "a car wash, a CAR"), (3, None), (4, ""), (5, long[:-2]), (2, "car")]
+    words = [(1, "car"), (2, "Car Wash"), (3, long), (4, ""), (5, "zebra"), (6, "CAR")]
+    t = spark.createDataFrame(texts, "id long, text string")
+    k = spark.createDataFrame(words, "ord int, kw string")
+    want = {(i, w) for i, x in texts for _, w in words if x and w and w.lower() in x.lower()}
+    for chars in (matching.AUTOMATON_CHARS, 3):
+        monkeypatch.setattr(matching, "AUTOMATON_CHARS", chars)
+        rows = [(r.id, r.kw) for r in matching.keyword_join(t, k, "id", "text").collect()]
+        assert set(rows) == want and len(rows) == len(want)
+        assert {r.id for r in matching.keyword_semi(t, k, "id", "text").collect()} == {i for i, _ in want}
