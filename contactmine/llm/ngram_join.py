@@ -394,7 +394,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """The components of all links, as a table."""
+    """The components of these links, as a table."""
     return materialised(components(links), 2 * links.count())
 
 
@@ -651,8 +651,8 @@ def similar_groups(
         label = labels.selectExpr(f"node AS {side}", f"component AS {side}c")
         rest = rest.join(label, side, "left")
     rest = rest.where("ac IS NULL OR bc IS NULL OR ac <> bc").select("a", "b")
-    links = links.union(verifier.linked(rest.join(first, ["a", "b"], "left_anti")))
-    labels = _labels(links)
+    known = labels.where("node <> component").selectExpr("node AS a", "component AS b")
+    labels = _labels(known.union(verifier.linked(rest.join(first, ["a", "b"], "left_anti"))))
     large = large.select("sig", "node").distinct()
     members = large.groupBy("sig").agg(
         F.count("node").alias("n"),
@@ -694,8 +694,9 @@ def similar_groups(
         new = verifier.linked(tried)
         failed.append(tried.join(new, ["a", "b"], "left_anti"))
         if not new.isEmpty():
-            links = links.union(new)
-            labels = _labels(links)
+            # What is known already comes as stars, so that few rounds are left to do.
+            known = labels.where("node <> component").selectExpr("node AS a", "component AS b")
+            labels = _labels(known.union(new))
     by_node = nodes.select("node", F.col("doc_id").alias("rep"))
     named = by_node.join(labels, "node", "left")
     smallest = named.groupBy(F.coalesce("component", "node").alias("component")).agg(
