@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from contactmine.llm.textbytes import LOWER, SPACE, U64, Texts, same_spans, span_hashes
 
-MOST_PIECES = 1 << 19
+MOST_PIECES = 1 << 20  # less than 100 MB
 BATCH_BYTES = 1 << 16
 
 _LETTER = np.zeros(256, bool)
