@@ -8,6 +8,13 @@ term never occurs without the entity. Terms of the same documents that exceed th
 threshold are generalised, or removed if they give away nearly all, wherever they
 stand, in documents without the entity too.
 
+Most entities stand in few texts, so P(e | t) is a smoothed estimate: it starts from
+``PRIOR`` texts in which the entity is as frequent as anywhere. Two things reach
+entities too rare for that: entities are pooled by domain, network, issuer or dialling
+code, and a pool is judged like an entity; and a word that is a part of an entity's own
+value (``lindqvist`` of ``lindqvist@corp.org``) needs less evidence (``OWN_PRIOR``). Any
+other word met once beside an entity met once is like all words of that text, and stays.
+
 Everything is DataFrame functions. Spans and distinct words leave the scan as
 narrow rows; words too frequent or too rare to reach the threshold are dropped
 before they meet the entities. Texts move only where they meet their own terms.
@@ -35,7 +42,9 @@ PATTERNS = {
 _NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 _WORD = r"[\p{L}\p{N}]+"
 
-SUPPORT = 5  # different texts in which term and entity must meet
+PRIOR = 2.0  # texts that every estimate starts from, in which the entity is as frequent as anywhere
+OWN_PRIOR = 0.5  # the same for words of the entity's own value
+BELIEF = 0.6  # least smoothed share of the term's documents that hold the entity
 GENERALISE = 0.9  # share of the entity's information
 REMOVE = 0.97
 _SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -119,53 +128,95 @@ def _terms(rows: DataFrame, *keys: str) -> DataFrame:
     return each.where((F.char_length("term") >= 3) & F.col("term").rlike(r"\p{L}"))
 
 
+# What the pool of an entity is named by: domain, network, issuer, dialling code.
+_POOLS = {
+    "email": lambda value: F.substring_index(value, "@", -1),
+    "ip": lambda value: F.substring_index(value, ".", 3),
+    "card": lambda value: F.substring(_digits(value), 1, 6),
+    "phone": lambda value: F.substring(_digits(value), 1, 4),
+}
+
+
 def _entities(base: DataFrame) -> DataFrame:
-    """``_copy``, ``entity``: the distinct entities of each row."""
-    named = F.concat(*[_named(kind, F.col(kind)) for kind in PATTERNS])
-    value = lambda e: F.when(e["kind"] == "email", F.lower(e["value"])).otherwise(e["value"])
-    names = F.transform(named, lambda e: F.concat_ws(":", e["kind"], value(e)))
-    return base.select("_copy", F.explode(F.array_distinct(names)).alias("entity"))
+    """``_copy``, ``pool``, ``entity``: the distinct entities of each row, and the distinct pools of these."""
+
+    def unit(pool: bool, kind: str, value: Column) -> Column:
+        return F.struct(F.lit(pool).alias("pool"), F.concat(F.lit(f"{kind}:"), value).alias("entity"))
+
+    def units(kind: str) -> list[Column]:
+        values = F.transform(kind, lambda s: F.lower(s["value"]))
+        return [
+            F.transform(values, lambda v: unit(False, kind, v)),
+            F.transform(values, lambda v: unit(True, kind, _POOLS[kind](v))),
+        ]
+
+    each = F.array_distinct(F.concat(*[part for kind in PATTERNS for part in units(kind)]))
+    return base.select("_copy", F.explode(each).alias("unit")).select("_copy", "unit.*")
 
 
 def disclosing_terms(
-    docs: DataFrame, entities: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE
+    docs: DataFrame,
+    entities: DataFrame,
+    prior: float = PRIOR,
+    own_prior: float = OWN_PRIOR,
+    belief: float = BELIEF,
+    threshold: float = GENERALISE,
 ) -> DataFrame:
-    """``entity``, ``term``, ``share``: terms that give away so much of an entity.
+    """``pool``, ``entity``, ``term``, ``share``: terms that give away so much of an entity or pool.
 
-    ``docs`` has ``_text`` and ``_copy``, which texts share that are equal. Counts
-    are documents, over all of them; a term counts only where it meets the entity in
-    ``support`` different texts, so that copies of one document are no evidence.
+    ``docs`` has ``_text`` and ``_copy``, which texts share that are equal. Rates are
+    of documents, over all of them; the evidence for a rate is the number of different
+    texts, so that copies of one document are no evidence. Entities and terms that no
+    evidence could bring over the threshold are dropped before they meet.
     """
+    unit = ["pool", "entity"]
     total = float(max(docs.count(), 2))
-    where = materialised(entities.groupBy("entity", "_copy").agg(F.count(F.lit(1)).alias("rows")))
-    per_entity = materialised(
-        where.groupBy("entity")
+    where = materialised(entities.groupBy(*unit, "_copy").agg(F.count(F.lit(1)).alias("rows")))
+    base_rate = F.col("with_entity") / F.lit(total)
+    units = materialised(
+        where.groupBy(*unit)
         .agg(F.sum("rows").alias("with_entity"), F.count(F.lit(1)).alias("texts"))
-        .where(F.col("texts") >= support)
         .withColumn("own", F.log(F.lit(total) / F.col("with_entity")))
-        # With more documents than that a term stays below the threshold.
-        .withColumn("most", F.col("with_entity") * F.exp((1 - threshold) * F.col("own")) * (1 + 1e-9))
-        .select("entity", "with_entity", "own", "most")
+        # The estimate at which the share reaches the threshold.
+        .withColumn("least", F.greatest(F.lit(belief), F.exp((threshold - 1) * F.col("own"))))
+        # With more documents than that a term stays below it.
+        .withColumn("most", F.col("with_entity") * (1 + prior * base_rate) / F.col("least") * (1 + 1e-9))
     )
-    most = per_entity.agg(F.max("most")).first()[0] or 0.0
-    where = materialised(where.join(per_entity, "entity"))
-    with_term = _terms(docs).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    with_term = with_term.where((F.col("with_term") >= support) & (F.col("with_term") <= most))
+
+    def judged(rows: DataFrame, texts: str, both: Column, weight: float) -> DataFrame:
+        """``rows`` whose smoothed estimate suffices; ``both`` are documents with term and entity."""
+        purity = F.least(F.lit(1.0), both / F.col("with_term"))
+        estimate = (F.col(texts) + weight * base_rate) / (F.col(texts) / purity + weight)
+        share = F.when(F.col("own") > 0, 1 + F.log(estimate) / F.col("own")).otherwise(F.lit(0.0))
+        rows = rows.withColumns({"estimate": estimate, "share": share})
+        enough = (F.col("estimate") >= belief) & (F.col("share") >= threshold)
+        return rows.where(enough).select(*unit, "term", "share")
+
+    # The words of an entity's own value stand in all its documents.
+    words = F.array_distinct(F.regexp_extract_all(F.substring_index("entity", ":", -1), F.lit(_WORD), F.lit(0)))
+    parts = units.where(~F.col("pool")).withColumn("term", F.explode(words))
+    parts = parts.where((F.char_length("term") >= 3) & F.col("term").rlike(r"\p{L}"))
+
+    # Least number of texts with term and entity, were the term never to occur without it.
+    fewest = F.lit(prior) * (F.col("least") - base_rate) / (1 - F.col("least")) * (1 - 1e-9)
+    reached = units.where((F.col("least") < 1) & (F.col("texts") >= fewest))
+    support = reached.agg(F.min(F.greatest(F.lit(1.0), fewest))).first()[0] or 1.0
+    most = units.agg(F.max("most")).first()[0] or 0.0
+    where = materialised(where.join(reached.drop("texts"), unit))
     beside = _terms(docs.join(where.select("_copy").distinct(), "_copy", "left_semi"), "_copy").distinct()
     beside = materialised(beside)
-    enough = beside.groupBy("term").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
-    beside = beside.join(materialised(with_term.join(enough.select("term"), "term")), "term")
-    mutual = F.col("own") + F.log(F.col("both") / F.col("with_term"))
-    return (
-        where.join(beside, "_copy")
+    often = beside.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
+    wanted = often.select("term").union(parts.select("term")).distinct()
+    with_term = _terms(docs).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    with_term = materialised(with_term.where(F.col("with_term") <= most).join(wanted, "term"))
+    met = (
+        where.join(beside.join(with_term.where(F.col("with_term") >= support), "term"), "_copy")
         .where(F.col("with_term") <= F.col("most"))
-        .groupBy("entity", "term", "own", "with_term")
-        .agg(F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts"))
-        .where(F.col("texts") >= support)
-        .withColumn("share", F.when(F.col("own") > 0, mutual / F.col("own")).otherwise(F.lit(0.0)))
-        .where(F.col("share") >= threshold)
-        .select("entity", "term", "share")
+        .groupBy(*unit, "term", "own", "with_entity", "with_term")
+        .agg(F.sum("rows").alias("both"), F.count(F.lit(1)).alias("met"))
     )
+    named = judged(parts.join(with_term, "term"), "texts", F.col("with_entity"), own_prior)
+    return judged(met, "met", F.col("both"), prior).union(named)
 
 
 def _occurrences(text: Column, terms: Column) -> Column:

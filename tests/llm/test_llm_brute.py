@@ -413,6 +413,27 @@ def test_terms_of_the_whole_document(spark):
     assert not any(out[k] for k in out if k >= 200 or k % 20 and k != 7)
 
 
+def test_terms_of_rare_entities(spark):
+    """Names in an address of their own, and names met beside many addresses of one domain, each met once."""
+    rng = random.Random(6)
+    prose = lambda: " ".join(f"w{rng.randrange(60)}x" for _ in range(40))
+    texts = [prose() for _ in range(1000)]
+    planted = {}
+    for k in range(40):  # the name is a part of the only address
+        name = "Lind" + "abcdefgh"[k % 8] + "klmnp"[k // 8] + "vist"
+        texts[k] += f"\nsays {name} to {name.lower()}.{k}@host{k}.net"
+        planted[k] = [name]
+    for k in range(100, 140):  # ten firms, four people each, one address a person
+        firm = "Werk" + "abcdefghij"[(k - 100) // 4]
+        texts[k] += f"\n{firm}: p{k}@dom{(k - 100) // 4}.org"
+        planted[k] = [firm]
+    docs = spark.createDataFrame([(k, t, None, None, None, None) for k, t in enumerate(texts)], SCHEMA)
+    out = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.term] for r in private_spans(docs).collect()}
+    caught = sum(set(want) <= set(out[k]) for k, want in planted.items())
+    assert caught >= 0.9 * len(planted)
+    assert not any(out[k] for k in out if k not in planted)
+
+
 def test_all_languages_are_learned(spark):
     rows = [(3 * k + i, f"tongue{k} " * 5, f"l{k:03}") for k in range(230) for i in range(3 if k else 9)]
     docs = spark.createDataFrame([(10 * i + j, t, n) for i, t, n in rows for j in range(4)], "doc_id long, text string, lang string")
