@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.utils import AnalysisException
 
 _KEYS = "query_id string, batch_id long"
@@ -24,7 +24,7 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads("".join(line["value"] for line in lines))["id"]
 
 
-def _read(spark: SparkSession, path: str, schema: str | None) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str, schema: str | None) -> DataFrame | None:
     """A table that may not have come into being yet."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
@@ -37,14 +37,34 @@ def _read(spark: SparkSession, path: str, schema: str | None) -> DataFrame | Non
 
 def ledger(spark: SparkSession, table: str) -> DataFrame:
     """``query_id``, ``batch_id`` and row counts of every committed batch."""
-    found = _read(spark, f"{table.rstrip('/')}/ledger", _LEDGER)
+    found = read_if_there(spark, f"{table.rstrip('/')}/ledger", _LEDGER)
     return found if found is not None else spark.createDataFrame([], _LEDGER)
 
 
+def progress(spark: SparkSession, table: str, every: int = 20) -> DataFrame:
+    """Per committed batch: ``pages``, ``contacts``, ``rejects``, ``dropped``, ``pages_so_far``, ``report``.
+
+    ``dropped`` pages could be read and match nothing. ``pages_so_far`` counts the
+    stream's batches in order; ``report`` is true where it passes a multiple of ``every``.
+    """
+    so_far = F.sum("seen").over(Window.partitionBy("query_id").orderBy("batch_id"))
+    rows = ledger(spark, table).withColumn("pages_so_far", so_far)
+    return rows.select(
+        "query_id",
+        "batch_id",
+        F.col("seen").alias("pages"),
+        "contacts",
+        "rejects",
+        (F.col("seen") - F.col("contacts") - F.col("rejects")).alias("dropped"),
+        "pages_so_far",
+        (F.expr(f"pages_so_far div {every}") > F.expr(f"(pages_so_far - seen) div {every}")).alias("report"),
+    )
+
+
 def is_committed(spark: SparkSession, table: str, query_id: str, batch_id: int) -> bool:
     """Looks at one folder of the ledger, however many there are."""
     path = f"{table.rstrip('/')}/ledger/query_id={query_id}/batch_id={batch_id}"
-    found = _read(spark, path, "seen long")
+    found = read_if_there(spark, path, "seen long")
     return found is not None and not found.isEmpty()
 
 
@@ -61,7 +81,7 @@ def committed_rows(spark: SparkSession, table: str, part: str) -> DataFrame:
     by it at run time.
     """
     root = table.rstrip("/")
-    data = _read(spark, f"{root}/{part}", None)
+    data = read_if_there(spark, f"{root}/{part}", None)
     if data is None:
         raise ValueError(f"nothing has been written to {root} yet")
     data = data.withColumns(

@@ -16,8 +16,8 @@ from contactmine.schema import CONTACT_FIELDS, OUTPUT_LABELS
 from contactmine.session import shared_dir
 from contactmine.sinks import tables as T
 from contactmine.sources.pages import read_pages, single_page, stream_pages
-from contactmine.streaming import contacts as ST
-from contactmine.streaming.ledger import commit, is_committed, ledger
+from contactmine.streaming import compaction as SC, contacts as ST
+from contactmine.streaming.ledger import commit, is_committed, ledger, progress
 
 WORDS = ["free", "licen", "ation"]
 PROFILE = replace(SOURCE_B, keywords=WORDS)
@@ -204,6 +204,66 @@ def test_committed_batches_are_left_alone(spark, tmp_path):
     assert ledger(spark, table).count() == 1
 
 
+def contact_batch(spark, table, query_id, batch_id, rows):
+    """A committed batch of contacts (page_id, name, phone)."""
+    fields = {"full_name": "name", "phone_number": "phone"}
+    df = spark.createDataFrame(rows, "page_id long, name string, phone string")
+    df = df.select("page_id", *[F.col(fields[c]).alias(c) if c in fields else F.lit(None).cast("string").alias(c) for c in CONTACT_FIELDS])
+    df.write.mode("overwrite").parquet(f"{table}/contacts/query_id={query_id}/batch_id={batch_id}")
+    counts = spark.range(1).selectExpr(f"{len(rows)}L AS seen", f"{len(rows)}L AS contacts", "0L AS rejects")
+    commit(counts, table, query_id, batch_id)
+
+
+def test_incremental_compaction(spark, tmp_path):
+    """Equal to full compaction after each run; only buckets with new keys are written."""
+    table = str(tmp_path / "t")
+
+    def state():
+        got = sorted(tuple(r) for r in SC.compacted(spark, table).select("page_id", *CONTACT_FIELDS).collect())
+        want = sorted(tuple(r) for r in ST.compact(ST.appended(spark, table)).select("page_id", *CONTACT_FIELDS).collect())
+        assert got == want
+        return got
+
+    hot = [(k, "Hot Name", "1") for k in range(100)]
+    contact_batch(spark, table, "b", 3, [*hot, *[(k, f"Name {k}", None) for k in range(100, 160)]])
+    assert SC.compact_new(spark, table, 16) == 1
+    assert len(state()) == 61
+    assert SC.compact_new(spark, table, 16) is None
+    # A batch of another stream that comes earlier in order replaces the first row of a key.
+    contact_batch(spark, table, "a", 0, [(900, " Hot Name ", "1")])
+    assert SC.compact_new(spark, table, 16) == 2
+    assert (900, "Hot Name", "1") in [r[:3] for r in state()] and len(state()) == 61
+    entries = SC.manifest(spark, table)
+    assert entries.where("version = 2 and bucket is not null").count() == 1
+    assert SC.compacted(spark, table, 1).where("page_id = 900").isEmpty()
+    contact_batch(spark, table, "a", 1, [])
+    assert SC.compact_new(spark, table, 16) == 3
+    assert len(state()) == 61
+
+
+def test_compaction_that_fails_is_done_again(spark, tmp_path, monkeypatch):
+    """Data written without its manifest is not read; the next run writes the same version."""
+    table = str(tmp_path / "t")
+    contact_batch(spark, table, "q", 0, [(1, "Ann", "1"), (2, "Bob", "2")])
+    SC.compact_new(spark, table, 4)
+    contact_batch(spark, table, "q", 1, [(3, "Cid", "3"), (4, "Ann", "1")])
+    spark.read.parquet(f"{table}/compact/data").where("false").union(
+        SC.compacted(spark, table).withColumn("version", F.lit(2)).select(*spark.read.parquet(f"{table}/compact/data").columns)
+    ).drop("version").write.partitionBy("bucket").parquet(f"{table}/compact/data/version=2")
+    assert SC.compacted(spark, table).count() == 2
+    assert SC.compact_new(spark, table, 4) == 2
+    assert sorted(r.page_id for r in SC.compacted(spark, table).collect()) == [1, 2, 3]
+
+
+def test_progress_of_batches(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for batch, (seen, contacts, rejects) in enumerate([(15, 3, 1), (4, 0, 0), (21, 21, 0)]):
+        counts = spark.range(1).selectExpr(f"{seen}L AS seen", f"{contacts}L AS contacts", f"{rejects}L AS rejects")
+        commit(counts, table, "q", batch)
+    rows = progress(spark, table).orderBy("batch_id").select("dropped", "pages_so_far", "report").collect()
+    assert [tuple(r) for r in rows] == [(11, 15, False), (4, 19, False), (0, 40, True)]
+
+
 @pytest.mark.parametrize("profile", [SOURCE_A, SOURCE_B, SOURCE_C, source_d("h.example.com")])
 def test_rejects_of_every_layout(spark, tmp_path, profile):
     """A page that cannot be read is set aside with its error, the others stay."""
