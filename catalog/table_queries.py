@@ -221,17 +221,17 @@ def _pages(spark, sf_dir):
     )
 
 
-def _rows(spark, sf_dir):
+def link_rows(spark, sf_dir):
     return U.frontier_rows(U.page_links(_pages(spark, sf_dir)), *_KEYS)
 
 
-def _first(spark, sf_dir):
-    return U.first_seen(_rows(spark, sf_dir), ["region"])
+def first_rows(spark, sf_dir):
+    return U.first_seen(link_rows(spark, sf_dir), ["region"])
 
 
 def _novel(spark, sf_dir):
     pages = _pages(spark, sf_dir).select(*_KEYS)
-    return U.novelty(_first(spark, sf_dir), pages, _KEYS)
+    return U.novelty(first_rows(spark, sf_dir), pages, _KEYS)
 
 
 @query(
@@ -245,7 +245,7 @@ def _(spark, sf_dir):
 
 @query("frontier_rows", f"SELECT region, page_num, pos, url FROM {_LINKS}")
 def _(spark, sf_dir):
-    return _rows(spark, sf_dir)
+    return link_rows(spark, sf_dir)
 
 
 @query(
@@ -305,17 +305,17 @@ def _(spark, sf_dir):
     f"SELECT region, page_num, pos, url FROM {_LINKS} WHERE NOT contains(lower(url), 'the') AND NOT contains(lower(url), 'blog.')",
 )
 def _(spark, sf_dir):
-    return _rows(spark, sf_dir).filter(holds_none_of(F.col("url"), ["The", "blog."]))
+    return link_rows(spark, sf_dir).filter(holds_none_of(F.col("url"), ["The", "blog."]))
 
 
 @query("distinct_urls", f"SELECT DISTINCT url FROM {_LINKS}")
 def _(spark, sf_dir):
-    return U.distinct_urls(_rows(spark, sf_dir))
+    return U.distinct_urls(link_rows(spark, sf_dir))
 
 
 @query("first_seen", f"SELECT region, url, page_num, pos FROM {_FIRST}")
 def _(spark, sf_dir):
-    return _first(spark, sf_dir)
+    return first_rows(spark, sf_dir)
 
 
 @query(
@@ -323,12 +323,12 @@ def _(spark, sf_dir):
     f"""SELECT url, min(page_num) AS page_num, CAST(arg_min(pos, page_num * 100000 + pos) AS INT) AS pos FROM {_LINKS} GROUP BY url""",
 )
 def _(spark, sf_dir):
-    return U.first_seen(_rows(spark, sf_dir))
+    return U.first_seen(link_rows(spark, sf_dir))
 
 
 @query("sorted_urls", f"SELECT DISTINCT url FROM {_LINKS} ORDER BY url")
 def _(spark, sf_dir):
-    return U.visit_order(U.distinct_urls(_rows(spark, sf_dir)))
+    return U.visit_order(U.distinct_urls(link_rows(spark, sf_dir)))
 
 
 @query(
@@ -387,7 +387,7 @@ def _(spark, sf_dir):
     sparse = _novel(spark, sf_dir).withColumn(
         "added", F.when(F.col("added") > 4, F.col("added")).otherwise(0)
     )
-    return U.until_stop(_first(spark, sf_dir), U.stop_pages(sparse, _KEYS), _KEYS)
+    return U.until_stop(first_rows(spark, sf_dir), U.stop_pages(sparse, _KEYS), _KEYS)
 
 
 @query(
@@ -395,7 +395,7 @@ def _(spark, sf_dir):
     f"SELECT region, page_num, pos, url FROM {_LINKS} WHERE page_num BETWEEN 21 AND 70",
 )
 def _(spark, sf_dir):
-    return U.page_range(_rows(spark, sf_dir), 21, 50)
+    return U.page_range(link_rows(spark, sf_dir), 21, 50)
 
 
 def _cap_sql(n):
@@ -405,7 +405,7 @@ def _cap_sql(n):
 
 @query("cap_per_region", _cap_sql(7))
 def _(spark, sf_dir):
-    return U.cap_per_group(_first(spark, sf_dir), ["region"], 7)
+    return U.cap_per_group(first_rows(spark, sf_dir), ["region"], 7)
 
 
 @query(
@@ -428,8 +428,8 @@ def _(spark, sf_dir):
           SELECT url FROM {_LINKS} WHERE page_num < 20)""",
 )
 def _(spark, sf_dir):
-    earlier = _rows(spark, sf_dir).filter(F.col("page_num") < 20)
-    return U.skip_seen(_first(spark, sf_dir), earlier).select("region", "url", "page_num", "pos")
+    earlier = link_rows(spark, sf_dir).filter(F.col("page_num") < 20)
+    return U.skip_seen(first_rows(spark, sf_dir), earlier).select("region", "url", "page_num", "pos")
 
 
 @query(
@@ -437,7 +437,7 @@ def _(spark, sf_dir):
     f"SELECT region, count(DISTINCT url) AS links FROM {_LINKS} GROUP BY region",
 )
 def _(spark, sf_dir):
-    return R.links_per_directory(_rows(spark, sf_dir))
+    return R.links_per_directory(link_rows(spark, sf_dir))
 
 
 # -- sources -----------------------------------------------------------------

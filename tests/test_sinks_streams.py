@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from contactmine.operators import contacts as C, reports as R
+from contactmine.operators import contacts as C, frontier as U, reports as R, seen as SN
 from contactmine.plans.contacts import extract_contacts
 from contactmine.plans.profiles import SOURCE_A, SOURCE_B, SOURCE_C, source_d
 from contactmine.schema import CONTACT_FIELDS, OUTPUT_LABELS
@@ -306,3 +306,45 @@ def test_single_page_reaches_the_scan(spark, sf_dir):
     one = single_page(pages, url)
     assert one.count() == 1
     assert f"EqualTo(url,{url})" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seen_store(spark, tmp_path):
+    """A filter that is far too small asks for more rows and gives the same result; NULL stays, a hot URL too."""
+    rows = spark.range(6000).select(
+        F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 100 = 1 THEN NULL ELSE concat('https://h.example.com/', id % 4000) END").alias("url"),
+        F.col("id").alias("bucket"),  # a column name that the store uses too
+    )
+    old = rows.where("bucket % 7 = 1").withColumnRenamed("bucket", "n")
+    want = sorted(map(str, U.skip_seen(rows, old).collect()))
+    asked = []
+    for name, expected in (("small", 10), ("large", 100_000)):
+        store = str(tmp_path / name)
+        SN.make_store(spark, store, expected, buckets=8)
+        assert SN.skip_remembered(rows, store).count() == rows.count()
+        SN.remember(old.where("n < 3000"), store)
+        SN.remember(old.where("n >= 2000"), store)
+        SN.remember(old.limit(0), store)
+        assert sorted(map(str, SN.skip_remembered(rows, store).collect())) == want
+        asked.append(SN.maybe_remembered(rows, store).where("_maybe").count())
+    assert asked[1] < rows.count() - len(want) + 0.05 * rows.count()
+
+
+def test_large_seen_table_is_not_shuffled(spark, tmp_path):
+    store = str(tmp_path / "s")
+    SN.make_store(spark, store, 1000, buckets=4)
+    SN.remember(spark.range(1000).select(F.concat(F.lit("u"), "id").alias("url")), store)
+    new = SN.skip_remembered(spark.range(990, 1010).select(F.concat(F.lit("u"), "id").alias("url")), store)
+    assert new.count() == 10
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    scan = next(k for k, line in enumerate(plan.splitlines()) if "/urls" in line)
+    above = plan.splitlines()[max(0, scan - 6) : scan]
+    assert any("BroadcastHashJoin" in line for line in above)
+    assert not any("Exchange hashpartitioning" in line for line in above[next(k for k, x in enumerate(above) if "BroadcastHashJoin" in x):])
+
+
+def test_sketches_of_runs_merge(spark):
+    rows = spark.range(40_000).select((F.col("id") % 2).alias("region"), F.concat(F.lit("u"), F.col("id") % 30_000).alias("url"))
+    parts = R.link_sketches(rows.where("url < 'u2'")).union(R.link_sketches(rows.where("url >= 'u15'")))
+    got = {r.region: r.links for r in R.merged_links(parts).collect()}
+    for region, exact in {None: 30_000, 0: 15_000, 1: 15_000}.items():
+        assert abs(got[region] - exact) <= 0.03 * exact
