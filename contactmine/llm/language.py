@@ -20,9 +20,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contactmine.llm.textbytes import LOWER, Texts, mix, slices, span_hashes
+from contactmine.operators.frontier import cap_per_group
 
 PER_LANGUAGE = 400  # documents of the training sample, fewer where there are many languages
 SAMPLE = 80_000  # documents of all languages together; every language has one at least
+SAMPLE_BYTES = 256 << 20  # of these texts together
 BUCKETS = 1 << 14
 NGRAMS = (2, 3, 4)
 _OPEN, _CLOSE = 60, 62  # < and >
@@ -144,21 +146,45 @@ def train(
     return model
 
 
-def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> pa.Table:
-    """Texts and languages: of every language so many rows at most, the smallest hashes of ids."""
+def training_sample(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, most_bytes: int = SAMPLE_BYTES
+) -> pa.Table:
+    """Texts and languages: of every language so many rows at most, the smallest hashes of ids.
+
+    A language's share of ``most_bytes`` ends its rows earlier; its first row is always
+    taken, and rows alike once. A count by the leading bits of the hash says how far the hashes may go, so
+    that only about so many rows of a language are ranked, however many it has.
+    """
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     ).where(~held_out(F.col("doc_id")))
     languages = max(1, usable.select("lang").distinct().count())
     per_language = max(1, min(per_language, SAMPLE // languages))
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    usable = usable.select("doc_id", "lang", "text", F.xxhash64("text").alias("_key"))
+    narrow = usable.select("doc_id", "lang", "_key", F.octet_length("text").cast("long").alias("_bytes"))
+    narrow = narrow.withColumn("_hash", F.xxhash64("doc_id")).withColumn("_lead", F.shiftright("_hash", 56))
+    upwards = Window.partitionBy("lang").orderBy("_lead")
+    reach = (
+        narrow.groupBy("lang", "_lead")
+        .agg(F.approx_count_distinct("_hash", 0.05).alias("n"))  # repeated rows fill no place
+        .withColumn("before", F.sum("n").over(upwards) - F.col("n"))
+        .where(0.8 * F.col("before") < per_language)
+        .groupBy("lang")
+        .agg(F.max("_lead").alias("_reach"))
+    )
+    if languages <= SAMPLE:
+        reach = F.broadcast(reach)
+    near = narrow.join(reach, "lang").where(F.col("_lead") <= F.col("_reach")).distinct()
+    order = ["_hash", "doc_id", "_key"]
+    rank = Window.partitionBy("lang").orderBy(*order)
     chosen = (
-        usable.select("doc_id", "lang")
-        .withColumn("r", F.row_number().over(rank))
-        .where(F.col("r") <= per_language)
+        cap_per_group(near, ["lang"], per_language, order)
+        .withColumn("_sum", F.sum("_bytes").over(rank.rowsBetween(Window.unboundedPreceding, 0)))
+        .where((F.col("_sum") <= most_bytes // languages) | (F.col("_sum") == F.col("_bytes")))
     )
-    texts = usable.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
-    found = texts.select("doc_id", "lang", "text").limit(per_language * languages).toArrow()
+    same = ["doc_id", "lang", "_key"]
+    texts = usable.join(F.broadcast(chosen.select(*same)), same, "left_semi").dropDuplicates(same)
+    found = texts.select("doc_id", "lang", "text").toArrow()
     return found.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from contactmine.llm import ngram_join, quality
@@ -443,3 +444,18 @@ def test_all_languages_are_learned(spark):
     assert model.names == ["a", "b"]
     found = identify_language(spark.createDataFrame([(1, "gamma delta")], "doc_id long, text string"), model)
     assert found.first().lang_pred == "b"
+
+
+def test_sample_of_a_hot_language(spark):
+    """The smallest hashes of each language, whichever share of the rows it has; bytes are bounded, rows alike count once."""
+    rows = [(k, f"text {k}", "hot" if k % 3 else f"l{k % 9}") for k in range(3000)] + [(7, "text 7", "hot")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    hashed = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().collect()}
+    want = set()
+    for lang in {r[2] for r in rows}:
+        usable = [r for r in set(rows) if r[2] == lang and zlib.crc32(str(r[0]).encode()) % 4 != 2]
+        want |= {r[0] for r in sorted(usable, key=lambda r: (hashed[r[0]], r[0]))[:40]}
+    assert set(training_sample(docs, 40).column("doc_id").to_pylist()) == want
+    few = training_sample(docs, 40, most_bytes=200)
+    assert set(few.column("lang").to_pylist()) == {r[2] for r in rows}
+    assert sum(map(len, few.column("text").to_pylist())) <= 200
