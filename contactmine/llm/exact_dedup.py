@@ -141,9 +141,12 @@ def exact_groups(
     joined = materialised(
         plain.join(named.dropDuplicates(["_key"]), "_key").drop("_key")
     )
-    best = joined.groupBy("_last", "_name").agg(
-        F.min_by("doc_id", F.struct(-F.col("_chars"), F.col("doc_id"))).alias("keep_id"),
-        F.count(F.lit(1)).alias("group_size"),
+    # Written down, so that the join has its own shuffle of the rows, in which Spark may split a large group.
+    best = materialised(
+        joined.groupBy("_last", "_name").agg(
+            F.min_by("doc_id", F.struct(-F.col("_chars"), F.col("doc_id"))).alias("keep_id"),
+            F.count(F.lit(1)).alias("group_size"),
+        )
     )
     return joined.join(best, ["_last", "_name"]).select(
         "doc_id",
