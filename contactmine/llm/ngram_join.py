@@ -48,6 +48,7 @@ STAR_ROUNDS = 2
 MOST_BROADCAST = 200_000  # rows of two numbers
 BLOCK = 4096  # nodes of a large bucket that are compared in one task with as many others
 BLOCK_BYTES = 1 << 24
+MOST_SAID = 1 << 18  # pairs that a task remembers, so as not to repeat them
 _PENDING = 1 << 21
 
 
@@ -488,16 +489,36 @@ def _nearest(rows: DataFrame, threshold: int, tries: int) -> DataFrame:
     failed with this node already (``failed``): its nearest of all, and the
     ``tries`` nearest that come after it. A row (sig, null) says that pairs of
     the bucket are left beyond those. Pairs of blocks are compared in tasks of
-    their own; what they find nearest is ranked together.
+    their own; what they find nearest is ranked together. A bucket of one block
+    is ranked where it is compared, and a task says a pair once, in however many
+    of its buckets the two are nearest.
     """
     names = ["sig", "node", "other", "far", "own"]
 
-    def compare(sig: int, cross: bool, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def settled(said: set[tuple[int, int]], found: pa.RecordBatch) -> pa.RecordBatch:
+        """Pairs of a bucket of one block that this task has not said yet, as rows without ``sig``."""
+        one, two = (found.column(c).to_numpy() for c in ("node", "other"))
+        pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)], 1), axis=0)
+        fresh = [p for p in map(tuple, pairs.tolist()) if p not in said]
+        if len(said) > MOST_SAID:
+            said.clear()
+        said.update(fresh)
+        a, b = (pa.array([p[k] for p in fresh], pa.int64()) for k in (0, 1))
+        n = len(fresh)
+        return pa.record_batch([pa.nulls(n, pa.int64()), a, b, pa.nulls(n, pa.float64()), pa.nulls(n, pa.bool_())], names)
+
+    def more(sig: int) -> pa.RecordBatch:
+        """The row that says that a bucket has pairs left."""
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_())
+        return pa.record_batch([pa.array([sig if k == 0 else None], t) for k, t in enumerate(kinds)], names)
+
+    def compare(sig: int, cross: bool, whole: bool, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         node, component, n, second = (np.array(x) for x in list(zip(*rows, strict=True))[:4])
         failed = [r[5] for r in rows]
         words = np.array([len(r[4]) // 8 for r in rows])
         best, partner = np.full(len(node), np.inf), np.full(len(node), -1)
         tried = []
+        most, beyond = tries if whole else tries + 1, False  # one more shows that pairs are left
 
         def found(k: np.ndarray, other: np.ndarray, far: np.ndarray, own: bool) -> pa.RecordBatch:
             columns = [np.full(len(k), sig), node[k], node[other], far, np.full(len(k), own)]
@@ -533,8 +554,9 @@ def _nearest(rows: DataFrame, threshold: int, tries: int) -> DataFrame:
                     far = apart[ok] / (n[other] + n[k])
                     closer = far < best[other]
                     best[other[closer]], partner[other[closer]] = far[closer], k
-                    if len(other) > tries + 1:  # one more shows that pairs are left
-                        some = np.argpartition(far, tries)[: tries + 1]
+                    if len(other) > most:
+                        beyond = True
+                        some = np.lexsort((node[other], far))[:most]
                         other, far = other[some], far[some]
                     tried.append((np.full(len(other), k), other, far))
                     if sum(len(t[1]) for t in tried[-64:]) > 1 << 16 or len(tried) > 1 << 12:
@@ -545,41 +567,51 @@ def _nearest(rows: DataFrame, threshold: int, tries: int) -> DataFrame:
         some = np.flatnonzero(partner >= 0)
         if len(some):
             yield found(some, partner[some], best[some], False)
+        if whole and beyond:
+            yield more(sig)
+
+    def told(said: set, now: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        sig, i, j, blocks = now
+        for batch in compare(sig, i < j, blocks == 1, rows):
+            whole = blocks == 1 and batch.column("other").null_count == 0
+            yield settled(said, batch) if whole else batch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
+        said: set[tuple[int, int]] = set()
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in range(8)]
-            lists = batch.column(8)
+            columns = [batch.column(c).to_pylist() for c in range(9)]
+            lists = batch.column(9)
             bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-            for k, (sig, i, j, block, *row) in enumerate(zip(*columns, strict=True)):
-                if (sig, i, j) != now and rows:
-                    yield from compare(now[0], now[1] < now[2], rows)
+            for k, (sig, i, j, blocks, block, *row) in enumerate(zip(*columns, strict=True)):
+                if (sig, i, j, blocks) != now and rows:
+                    yield from told(said, now, rows)
                     rows = []
-                now = sig, i, j
+                now = sig, i, j, blocks
                 low, high = bounds[k], bounds[k + 1]
                 # A copy, so that the batch is not kept.
                 failed = values[low:high].copy() if lists[k].is_valid and high > low else None
                 node, component, n, sketch = row
                 rows.append((node, component, n, block == j, sketch, failed))
         if rows:
-            yield from compare(now[0], now[1] < now[2], rows)
+            yield from told(said, now, rows)
 
-    each = (
+    each = materialised(
         _blocks(rows)
-        .select("sig", "i", "j", "block", "node", "component", "n", "sketch", "failed")
+        .select("sig", "i", "j", "blocks", "block", "node", "component", "n", "sketch", "failed")
         .repartition("sig", "i", "j")
         .sortWithinPartitions("sig", "i", "j", "node")
         .mapInArrow(run, "sig long, node long, other long, far double, own boolean")
     )
     rank = F.row_number().over(Window.partitionBy("sig", "node", "own").orderBy("far", "other"))
     most = F.when(F.col("own"), tries + 1).otherwise(1)
-    ranked = each.withColumn("rank", rank).where(F.col("rank") <= tries + 1).where(F.col("rank") <= most)
+    known = each.where("sig IS NULL OR node IS NULL").select(F.coalesce("sig", "node").alias("a"), F.col("other").alias("b"))
+    open_rows = each.where("sig IS NOT NULL AND node IS NOT NULL")
+    ranked = open_rows.withColumn("rank", rank).where(F.col("rank") <= tries + 1).where(F.col("rank") <= most)
     a, b = F.least("node", "other"), F.greatest("node", "other")
     left = F.col("rank") > tries
-    return ranked.select(
-        F.when(left, F.col("sig")).otherwise(a).alias("a"), F.when(~left, b).alias("b")
-    ).distinct()
+    named = ranked.select(F.when(left, F.col("sig")).otherwise(a).alias("a"), F.when(~left, b).alias("b"))
+    return known.union(named).distinct()
 
 
 def similar_groups(
