@@ -1,7 +1,7 @@
 """Line dedup with a sharded minimal perfect hash.
 
 Every distinct line key gets a 128-bit hash. The hashes are dealt into shards by
-their leading bits; each shard is a minimal perfect hash over its keys (levels
+a remainder; each shard is a minimal perfect hash over its keys (levels
 of bit arrays: a key settles on the first level where nobody else wants its
 bit) that indexes two flat arrays, a fingerprint and a document count per key.
 Documents then probe the arrays with their line hashes; no line text is joined
@@ -16,18 +16,19 @@ the other probes are spread evenly.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from contactmine.llm.scratch import materialised
+from contactmine.llm.scratch import materialised, unused
 from contactmine.llm.textbytes import SPACE, mix, slices
 
 SHARD_KEYS = 1 << 16
 HOT_PARTS = 10_000
+RESULTS = ("_kept", "_n_lines", "_n_dropped", "_kept_sha256")
 _BLANK = bytes(np.flatnonzero(SPACE).tolist())
 _LEVELS = 24
 
@@ -188,15 +189,16 @@ def build_shards(counts: DataFrame, shards: int) -> DataFrame:
 
 def common_lines(
     docs: DataFrame,
-    id_column: str = "doc_id",
+    key: str,
     text: str = "text",
     min_docs: int = 10,
     min_chars: int = 1,
 ) -> tuple[DataFrame, Shard]:
     """The lines found in ``min_docs`` documents or more.
 
-    Returns ``_id``, ``_hits`` (packed hashes of such lines, per id that has any)
-    and the shard of the most frequent lines, which are not in ``_hits``.
+    Returns ``_id``, ``_hits`` (packed hashes of such lines, per value of the column
+    ``key`` that has any) and the shard of the most frequent lines, which are not in
+    ``_hits``.
     """
     counts = materialised(line_counts(docs, text, min_chars))
     keys, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -229,8 +231,8 @@ def common_lines(
                     ["_id", "shard", "h1", "h2"],
                 )
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    probes = docs.select(F.col(id_column).alias("_id"), text).mapInArrow(
+    kind = docs.schema[key].dataType.simpleString()
+    probes = docs.select(F.col(key).alias("_id"), text).mapInArrow(
         probe, f"_id {kind}, shard int, h1 long, h2 long"
     )
     arrays = materialised(build_shards(counts, shards))
@@ -276,23 +278,31 @@ def drop_common_lines(
     text: str = "text",
     min_docs: int = 10,
     min_chars: int = 1,
+    results: Sequence[str] = RESULTS,
 ) -> DataFrame:
-    """``docs`` plus ``_kept`` text, ``_n_lines``, ``_n_dropped``, ``_kept_sha256``.
+    """``docs`` plus ``_kept`` text, ``_n_lines``, ``_n_dropped``, ``_kept_sha256``, or as ``results`` names them.
 
     A line's key is the line without white space at both ends, A-Z lower-cased;
     keys of at least ``min_chars`` code points found in at least ``min_docs`` rows
     lose all their lines. Null and empty texts are one empty line, whose key is
-    too short to count. A row that repeats counts as a further document; a null
-    id is an id like any other. The result keeps every column of ``docs`` (a null
-    text stays null); an empty table gives an empty table.
+    too short to count. A row that repeats counts as a further document; rows meet
+    their lines by id and text together, so a repeated or null id gathers nothing.
+    The result keeps every column of ``docs`` (a null text stays null), but for
+    columns called like one of the ``results``, which these replace; an empty table
+    gives an empty table.
     """
-    hits, hot = common_lines(docs, id_column, text, min_docs, min_chars)
+    docs = docs.drop(*results)
+    key, found_lines = unused(docs, "_key", "_hits")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_column), F.col(text)))
+    hits, hot = common_lines(keyed, key, text, min_docs, min_chars)
+    # Written first: Spark may then split the rows of one id and text in the join.
+    hits = materialised(hits).toDF(key, found_lines)
     packed_hot = hot.pack()
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = Shard.unpack(*packed_hot)
         for batch in batches:
-            texts, found = batch.column(text), batch.column("_hits")
+            texts, found = batch.column(text), batch.column(found_lines)
             kept, sums, lines, dropped = [], [], [], []
             for _, _, part in slices(texts):
                 for row in range(len(part)):
@@ -316,14 +326,12 @@ def drop_common_lines(
             yield pa.record_batch(
                 [*rest, pa.array(kept, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()),
                  pa.array(dropped, pa.int64()), pa.array(sums, pa.string())],
-                [*names, "_kept", "_n_lines", "_n_dropped", "_kept_sha256"],
+                [*names, *results],
             )
 
     names = docs.columns
-    joined = docs.join(hits, docs[id_column].eqNullSafe(hits["_id"]), "left").select(
-        *[docs[c] for c in names], "_hits"
-    )
+    joined = keyed.join(hits, key, "left").select(*[F.col(f"`{c}`") for c in (*names, found_lines)])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(
-        rebuild, f"{fields}, _kept string, _n_lines long, _n_dropped long, _kept_sha256 string"
-    )
+    kinds = ("string", "long", "long", "string")
+    added = ", ".join(f"`{name}` {kind}" for name, kind in zip(results, kinds, strict=True))
+    return joined.mapInArrow(rebuild, f"{fields}, {added}")

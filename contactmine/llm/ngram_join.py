@@ -33,7 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from contactmine.llm.components import components
 from contactmine.llm.scratch import materialised, shards_for
@@ -85,8 +85,14 @@ def _nodes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(U64)).view(np.int64)
 
 
+def _text_key() -> Column:
+    return F.xxhash64("doc_id", "text").alias("text_key")
+
+
 def set_table(docs: DataFrame, length: int) -> DataFrame:
-    """``doc_id``, ``n``, ``node``, ``sketch`` per row; and frequent shingles per slice.
+    """``doc_id``, ``text_key``, ``n``, ``node``, ``sketch`` per row; and frequent shingles per slice.
+
+    Rows of one id and text share ``text_key``, by which a text is found again.
 
     Rows with null ``sketch`` are shingles: ``node`` the shingle, ``n`` documents of
     the slice that hold it (one in a hundred of them at least).
@@ -97,10 +103,11 @@ def set_table(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for low, high, part in slices(batch.column(1)):
                 hashes, first = distinct_sets(*shingles(part, length))
-                names = ["doc_id", "n", "node", "sketch"]
+                names = ["doc_id", "text_key", "n", "node", "sketch"]
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(low, high - low),
+                        batch.column(2).slice(low, high - low),
                         pa.array(np.diff(first)),
                         pa.array(_nodes(hashes, first)),
                         _sketches(hashes, first),
@@ -113,6 +120,7 @@ def set_table(docs: DataFrame, length: int) -> DataFrame:
                 yield pa.record_batch(
                     [
                         pa.nulls(none, batch.column(0).type),
+                        pa.nulls(none, pa.int64()),
                         pa.array(counts[often].astype(np.int64)),
                         pa.array(found[often].view(np.int64)),
                         pa.nulls(none, pa.binary()),
@@ -120,8 +128,8 @@ def set_table(docs: DataFrame, length: int) -> DataFrame:
                     names,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n long, node long, sketch binary"
+    return docs.select("doc_id", "text", _text_key()).mapInArrow(
+        run, f"doc_id {kind}, text_key long, n long, node long, sketch binary"
     )
 
 
@@ -402,8 +410,9 @@ def _labels(links: DataFrame) -> DataFrame:
 class _Verifier:
     """Tests pairs of nodes on their whole sets, which are read once per node."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, length: int, threshold: int):
+    def __init__(self, docs: DataFrame, nodes: DataFrame, length: int, threshold: int, repeated: bool):
         self.docs, self.nodes = docs, nodes
+        self.repeated = repeated  # some rows are alike in id and text
         self.length, self.threshold = length, threshold
         self.sets: DataFrame | None = None  # node, features
 
@@ -413,9 +422,11 @@ class _Verifier:
         if self.sets is not None:
             needed = needed.join(self.sets.select("node"), "node", "left_anti")
         rows = _small(
-            materialised(needed.join(self.nodes, "node").selectExpr("doc_id AS _rep", "node"))
+            materialised(needed.join(self.nodes, "node").select("text_key", "node"))
         )
-        texts = self.docs.join(rows, self.docs["doc_id"].eqNullSafe(rows["_rep"]))
+        texts = self.docs.select("text", _text_key()).join(rows, "text_key")
+        if self.repeated:  # one of the rows of each node, the first found by each task
+            texts = texts.groupBy("node", "text_key").agg(F.first("text").alias("text"))
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -423,7 +434,7 @@ class _Verifier:
                     hashes, first = distinct_sets(*shingles(part, length))
                     own = _nodes(hashes, first)
                     asked = batch.column(0).slice(low, len(part)).to_numpy()
-                    rows = np.flatnonzero(own == asked)  # another row may share the id
+                    rows = np.flatnonzero(own == asked)  # another text may share the key
                     yield pa.record_batch(
                         [
                             pa.array(asked[rows]),
@@ -432,7 +443,7 @@ class _Verifier:
                         ["node", "features"],
                     )
 
-        sets = texts.select("node", self.docs["text"]).mapInArrow(whole, "node long, features binary")
+        sets = texts.select("node", "text").mapInArrow(whole, "node long, features binary")
         sets = materialised(sets)
         self.sets = sets if self.sets is None else self.sets.union(sets)
 
@@ -655,13 +666,13 @@ def similar_groups(
     nodes = materialised(
         rows.where("n > 0")
         .groupBy("node")
-        .agg(F.min_by(F.struct("doc_id", "n", "sketch"), "doc_id").alias("r"), F.max("n").alias("n"),
+        .agg(F.min("text_key").alias("text_key"), F.max("n").alias("n"),
              F.max("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"))
-        .select("node", "doc_id", "n", "sketch")
     )
     found = materialised(buckets(docs, length, frequent, shards_for(docs), differ, overlap))
     large = found.where("sig IS NOT NULL")
-    verifier = _Verifier(docs, nodes, length, threshold)
+    repeated = not rows.where("n > 0").groupBy("text_key").count().where("count > 1").isEmpty()
+    verifier = _Verifier(docs, nodes, length, threshold, repeated)
 
     def plausible(heads: DataFrame) -> DataFrame:
         """(a, b) of nodes and leaders, and c, how often they met."""

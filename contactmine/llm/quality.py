@@ -206,8 +206,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, most: int = LABELLED)
     """Features and quality labels of at most ``most`` labelled rows, by hash of their id."""
     chosen = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
-        .select("doc_id", F.col("quality").cast("double").alias("good"))
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min(F.col("quality").cast("double")).alias("good"))  # of several labels the worst
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
@@ -256,7 +256,8 @@ def quality_verdicts(
     ``most_repeats`` percent of repeated words; ``quality`` the log odds of the
     trees (0 without trees); ``kept`` where the base holds and ``quality`` is at
     least ``least_score``: about one in eight is then good, so that doubtful
-    documents stay. ``keep_columns`` gives the columns of ``docs`` and ``kept`` instead.
+    documents stay. ``keep_columns`` gives the kept rows of ``docs`` instead, with their
+    own columns, whatever those are called.
     Null text has no words and fails. Repeated rows and null
     ids are rows like any other; other columns are ignored; an empty table
     gives an empty table.
@@ -270,8 +271,7 @@ def quality_verdicts(
                 score = trees.score(features) if trees else np.zeros(len(base))
                 kept = ~failed & (score >= least_score)
                 if keep_columns:
-                    rows = [c.slice(low, high - low) for c in batch.columns]
-                    yield pa.record_batch([*rows, pa.array(kept)], [*batch.schema.names, "kept"])
+                    yield batch.slice(low, high - low).filter(pa.array(kept))
                     continue
                 yield pa.record_batch(
                     [
@@ -287,7 +287,7 @@ def quality_verdicts(
     at = docs.columns.index(text) if keep_columns else 1
     if keep_columns:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        return docs.mapInArrow(run, f"{fields}, kept boolean")
+        return docs.mapInArrow(run, fields)
     kind = docs.schema[id_column].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in BASE)
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text)).mapInArrow(

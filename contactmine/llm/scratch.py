@@ -27,6 +27,15 @@ def materialised(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, with as many ``_`` added as keep them apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    tail = ""
+    while any((name + tail).lower() in taken for name in names):
+        tail += "_"
+    return [name + tail for name in names]
+
+
 def shards_for(df: DataFrame, per_partition: int = 8, least: int = 16) -> int:
     """A number of shards in proportion to the input's partitions."""
     return max(least, per_partition * df.rdd.getNumPartitions())

@@ -386,7 +386,7 @@ def test_pipeline_decides_by_row(spark):
     words = [(k if k % 3 else None, prose(5 + k % 11)) for k in range(60)] + [(1, prose(9))] * 20
     table = spark.createDataFrame([(k, t, f"s{len(t) % 2}") for k, t in words], "doc_id long, text string, source string")
     taken = corpus_pipeline.source_mix(spark, table, "")
-    drawn = mix_sources(corpus_pipeline._keyed(table), "_key").groupBy("source").agg({"taken": "sum"}).collect()
+    drawn = mix_sources(corpus_pipeline._keyed(table, "_key"), "_key").groupBy("source").agg({"taken": "sum"}).collect()
     got = Counter()
     for r in taken.collect():
         got[r.source] += len(r.text.split())
@@ -397,6 +397,43 @@ def test_pipeline_decides_by_row(spark):
     assert _rows(taken, "doc_id", "text") == _rows(corpus_pipeline.source_mix(spark, table.repartition(3), ""), "doc_id", "text")
 
 
+CLASHING = ["kept", "_kept", "_hits", "_id", "_key", "_rows", "_times", "_n_lines", "_group", "node", "key"]
+
+
+def test_columns_that_clash(spark, sf_dir):
+    """Columns called like those the operators use themselves come out of each stage as they went in."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    extra = [F.concat(F.lit(f"{name}/"), "doc_id").alias(name) for name in CLASHING]
+    more = docs.select("*", *extra)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        plain, wide = (materialised(stage(spark, t, sf_dir)) for t in (docs, more))
+        assert wide.columns == more.columns, name
+        if name != "source_mix":  # which rows it draws hangs on all their columns
+            assert _rows(plain, *docs.columns) == _rows(wide, *docs.columns), name
+        for column in CLASHING:
+            assert wide.where(f"`{column}` <> concat('{column}/', doc_id)").count() == 0, (name, column)
+    assert wide.count() > 0
+
+
+def test_rows_alike_and_without_id(spark):
+    """Similarity join and line dedup where a third of the rows has no id, or is one row many times."""
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**5)}" for _ in range(n))
+    base = [f"v{k}" for k in range(60)]
+    near = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in (0, 58, 59)]
+    rows = [(4, near[0] + "\nfooter")] * 40 + [(None, near[1])] * 5 + [(2, near[2])]
+    rows += [(None, prose(30) + "\nfooter") for _ in range(30)] + [(9, prose(12))] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    groups = Counter((r.doc_id, r.component_id) for r in similar_groups(table).collect())
+    assert groups == Counter({(4, 2): 40, (None, 2): 5, (2, 2): 1, (None, None): 30, (9, 9): 2})
+    cut = drop_common_lines(table).collect()
+    own = [t.split("\n")[0] for _, t in rows]
+    assert Counter(r._kept for r in cut) == Counter("" if own.count(t) >= 10 else t for t in own)
+    assert sum(r._n_dropped for r in cut) == 40 + 70
+
+
 def test_terms_of_the_whole_document(spark):
     """A signature block, the same in many documents, and its name elsewhere; copies are no evidence."""
     rng = random.Random(4)
