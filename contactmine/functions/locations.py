@@ -13,7 +13,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from contactmine.functions.text import WS, let, squeeze_ws, text_array, title_if_upper, trim_ws
+from contactmine.functions.text import (
+    WS_JAVA as WS,
+    let,
+    squeeze_ws,
+    text_array,
+    title_if_upper,
+    trim_ws,
+)
 
 # State names and their abbreviations.
 STATES = {
@@ -40,12 +47,13 @@ _CITY = rf"[A-Za-z][{_RUN}]++"
 _SP = f"[{WS}]"
 _ZIP = r"[0-9]{5}(?:-[0-9]{4})?"
 
+# What follows the comma behind a city; neither a city nor one of these holds a comma.
+_ZIP_TAIL = rf"{_SP}*+[A-Za-z][A-Za-z{WS}]*+(?<={_SP}){_ZIP}"
+_CODE_TAIL = rf"{_SP}*+[A-Za-z]{{2}}(?:{_SP}+{_ZIP}|{_SP}+United States|{_SP}|\z)"
+
 # Group 1 of each pattern: the match from the first letter of the city on.
-ZIP_PATTERN = rf"{_START}({_CITY},{_SP}*+[A-Za-z][A-Za-z{WS}]*+(?<={_SP}){_ZIP})"
-CODE_PATTERN = (
-    rf"{_START}({_CITY},{_SP}*+[A-Za-z]{{2}}"
-    rf"(?:{_SP}+{_ZIP}|{_SP}+United States|{_SP}|\z))"
-)
+ZIP_PATTERN = rf"{_START}({_CITY},{_ZIP_TAIL})"
+CODE_PATTERN = rf"{_START}({_CITY},{_CODE_TAIL})"
 NAME_PATTERN = (
     rf"{_START}({_CITY}(?:,{_SP}*+)?,{_SP}*+[A-Za-z][A-Za-z{WS}]*+)(?=[0-9]{{5}}|,|\z)"
 )
@@ -98,59 +106,87 @@ def state_from_name(raw: Column) -> Column:
     return F.try_element_at(state_map(), F.lower(trim_ws(raw)))
 
 
-def _matches(text: Column, pattern: str, cutoff: Column | None) -> Column:
-    """Matches in order; with a cutoff only those starting at or before that offset."""
-    if cutoff is None:
-        return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    # \G: a search that fails does not start over one character further on.
-    gapped = F.lit(rf"(?s)\G.*?{pattern}")
-    found = F.regexp_extract_all(text, gapped, F.lit(1))
-    spans = F.zip_with(
-        F.regexp_extract_all(text, gapped, F.lit(0)),
-        found,
-        lambda span, match: F.struct(
-            F.length(span).alias("span"), F.length(match).alias("match")
+def _render(match: Column, state: Callable[[Column], Column], title: bool) -> Column:
+    """``City, ST`` of a match, null where its parts are not accepted."""
+    return let(
+        F.struct(
+            trim_ws(F.substring_index(match, ",", 1)).alias("city"),
+            state(F.substring_index(match, ",", -1)).alias("state"),
         ),
-    )
-    zero = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("n"))
-    inside = F.aggregate(
-        spans,
-        zero,
-        lambda acc, x: F.struct(
-            (acc["pos"] + x["span"]).alias("pos"),
-            (
-                acc["n"]
-                + F.when(acc["pos"] + x["span"] - x["match"] <= cutoff, 1).otherwise(0)
-            ).alias("n"),
+        lambda p: F.when(
+            F.length(p["city"]).between(1, 50) & p["state"].isNotNull(),
+            F.concat(
+                title_if_upper(p["city"]) if title else p["city"],
+                F.lit(", "),
+                p["state"],
+            ),
         ),
-        lambda acc: acc["n"],
     )
-    return F.slice(found, F.lit(1), inside)
 
 
 def _first(
-    matches: Column, state: Callable[[Column], Column], title: bool
+    text: Column, pattern: str, state: Callable[[Column], Column], title: bool
 ) -> Column:
-    def render(match: Column) -> Column:
-        return let(
-            F.struct(
-                trim_ws(F.substring_index(match, ",", 1)).alias("city"),
-                state(F.substring_index(match, ",", -1)).alias("state"),
-            ),
-            lambda p: F.when(
-                F.length(p["city"]).between(1, 50) & p["state"].isNotNull(),
-                F.concat(
-                    title_if_upper(p["city"]) if title else p["city"],
-                    F.lit(", "),
-                    p["state"],
-                ),
-            ),
-        )
+    """The first accepted match of a pattern."""
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    shown = F.transform(matches, lambda match: _render(match, state, title))
+    return F.get(F.filter(shown, lambda x: x.isNotNull()), F.lit(0))
+
+
+def _first_by(
+    text: Column,
+    tail: str,
+    cutoff: Column,
+    state: Callable[[Column], Column],
+    title: bool,
+) -> Column:
+    """The first accepted ``city,tail`` that starts at or before offset ``cutoff``.
 
-    return F.get(
-        F.filter(F.transform(matches, render), lambda x: x.isNotNull()), F.lit(0)
+    The text is cut behind each tail, which is one quick pass from comma to comma.
+    A city is then read in the short stretch since the last comma only. Where no
+    city stands before a tail, what follows its comma may begin the next city.
+    """
+    # \G: a search that fails does not start over one character further on.
+    pieces = F.regexp_extract_all(
+        text, F.lit(rf"\G(?:[^,]*+,(?!{tail}))*+[^,]*+,{tail}"), F.lit(0)
+    )
+    pattern = rf"{_START}({_CITY},{tail})"
+    zero = F.struct(
+        F.lit(0).alias("end"),
+        F.lit("").alias("carry"),
+        F.lit(None).cast("string").alias("location"),
     )
 
+    def step(acc: Column, piece: Column) -> Column:
+        end = acc["end"] + F.length(piece)
+        stretch = F.substring_index(F.concat(acc["carry"], piece), ",", -2)
+
+        def read(match: Column) -> Column:
+            inside = (match != "") & (end - F.length(match) <= cutoff)
+            rest = F.when(match == "", F.substring_index(piece, ",", -1)).otherwise("")
+            return F.struct(
+                end.alias("end"),
+                rest.alias("carry"),
+                F.when(inside, _render(match, state, title)).alias("location"),
+            )
+
+        found = let(F.regexp_extract(stretch, pattern, 1), read)
+        return F.when(acc["location"].isNotNull(), acc).otherwise(found)
+
+    return F.aggregate(pieces, zero, step, lambda acc: acc["location"])
+
+
+def _pass(
+    text: Column,
+    tail: str,
+    cutoff: Column | None,
+    state: Callable[[Column], Column],
+    title: bool,
+) -> Column:
+    if cutoff is None:
+        return _first(text, rf"{_START}({_CITY},{tail})", state, title)
+    return _first_by(text, tail, cutoff, state, title)
+
 
 def _two_letters(rule: LocationRule) -> Callable[[Column], Column]:
     def state(rest: Column) -> Column:
@@ -174,7 +210,7 @@ def city_state_zip(
 
     return F.when(
         text.rlike(_HAS_ZIP),
-        _first(_matches(text, ZIP_PATTERN, cutoff), state, rule.title),
+        _pass(text, _ZIP_TAIL, cutoff, state, rule.title),
     )
 
 
@@ -182,17 +218,17 @@ def city_state_code(
     text: Column, rule: LocationRule = LocationRule(), cutoff: Column | None = None
 ) -> Column:
     """First ``City, XX`` followed by a zip, a space or the end."""
-    return _first(_matches(text, CODE_PATTERN, cutoff), _two_letters(rule), rule.title)
+    return _pass(text, _CODE_TAIL, cutoff, _two_letters(rule), rule.title)
 
 
 def city_state_name(text: Column, rule: LocationRule = LocationRule()) -> Column:
     """First ``City, Full State`` before a zip, a comma or the end."""
-    return _first(_matches(text, NAME_PATTERN, None), state_from_name, rule.title)
+    return _first(text, NAME_PATTERN, state_from_name, rule.title)
 
 
 def city_word_edge(text: Column, rule: LocationRule = LocationRule()) -> Column:
     """First ``City, XX`` that ends at a word boundary."""
-    return _first(_matches(text, EDGE_PATTERN, None), _two_letters(rule), rule.title)
+    return _first(text, EDGE_PATTERN, _two_letters(rule), rule.title)
 
 
 def has_location(text: Column) -> Column:

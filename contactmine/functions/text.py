@@ -19,6 +19,12 @@ WS = (
     r"\s\x{000b}\x{001c}-\x{001f}\x{0085}\x{00a0}\x{1680}"
     r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# The same class for Java patterns over long texts: characters below 256 are one table
+# lookup, and the others are only tried from U+1680 to U+3000.
+WS_JAVA = (
+    r" \t\n\x{000b}\f\r\x{001c}\x{001d}\x{001e}\x{001f}\x{0085}\x{00a0}"
+    r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
+)
 
 # Elements whose text is never shown.
 HIDDEN_TAGS = ["script", "style", "noscript", "template", "title"]
@@ -85,7 +91,7 @@ def trim_ws(col: Column) -> Column:
 
 def squeeze_ws(col: Column) -> Column:
     """Turn every run of white space, no-break space included, into one space."""
-    return trim_ws(F.regexp_replace(col, f"[{WS}]+", " "))
+    return trim_ws(F.regexp_replace(col, f"[{WS_JAVA}]+", " "))
 
 
 def blank_to_null(col: Column) -> Column:
