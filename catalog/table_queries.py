@@ -593,9 +593,10 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = _listings(spark, sf_dir)
+    seen = L.keyword_sightings(rows, _LISTING_KEYS)
     return (
-        L.first_listing_match(rows, _LISTING_KEYS)
-        .join(L.listing_keyword_lists(rows, _LISTING_KEYS), "page_id")
+        L.first_listing_match(rows, _LISTING_KEYS, sightings=seen)
+        .join(L.listing_keyword_lists(rows, _LISTING_KEYS, sightings=seen), "page_id")
         .select(
             "page_id",
             listing_note(F.col("match_source"), F.col("matched_type"), F.col("hits")).alias("notes"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from contactmine.functions.keywords import keyword_hits_in_item
-from contactmine.functions.text import WS, blank_to_null, let, text_array, title_case, trim_ws
+from contactmine.functions.text import WS, WS_JAVA, blank_to_null, let, title_case, trim_ws
 
 # Property types, first hit in this order wins.
 PROPERTY_TYPES = [
@@ -44,33 +44,44 @@ LISTING_TYPE = (
 )
 
 
+# A type that holds an earlier one is never the first: the others, as they are shown.
+_SHOWN_TYPES = [
+    (phrase, phrase.title())
+    for i, phrase in enumerate(PROPERTY_TYPES)
+    if not any(earlier in phrase for earlier in PROPERTY_TYPES[:i])
+]
+
+
+def named_type(lowered: Column) -> Column:
+    """First listed type in a lower-cased text, else ``Former X``, else null.
+
+    Generated code but for the rare rest: no lambda around the text.
+    """
+    listed = F.coalesce(
+        *[F.when(F.contains(lowered, F.lit(p)), F.lit(shown)) for p, shown in _SHOWN_TYPES]
+    )
+    word = F.regexp_extract(
+        lowered, rf"former(?<=(?:^|[{WS_JAVA}])former)[{WS_JAVA}]+([^{WS}]+)", 1
+    )
+    former = let(
+        word, lambda w: F.when(w != "", F.concat(F.lit("Former "), title_case(w)))
+    )
+    return F.coalesce(listed, F.when(F.contains(lowered, F.lit("former")), former))
+
+
+def _named_type(text: Column) -> Column:
+    """The same for any text, which is lower-cased once wherever this stands."""
+    return let(F.lower(text), named_type)
+
+
 def property_type(text: Column) -> Column:
     """First listed type in the text, else ``Former X``, else an empty text."""
-    def read(lowered: Column) -> Column:
-        listed = F.filter(
-            text_array(PROPERTY_TYPES), lambda phrase: F.contains(lowered, phrase)
-        )
-        word = F.regexp_extract(lowered, rf"(?:^|[{WS}])former[{WS}]+([^{WS}]+)", 1)
-        former = let(
-            word, lambda w: F.when(w != "", F.concat(F.lit("Former "), title_case(w)))
-        )
-        return F.coalesce(
-            title_case(F.get(listed, F.lit(0))),
-            F.when(F.contains(lowered, F.lit("former")), former),
-            F.lit(""),
-        )
-
-    return let(F.lower(text), read)
-
-
-def listing_type(text: Column, label: Column) -> Column:
-    """Type found in the text, else the listing's own label, else an empty text."""
-    return let(
-        property_type(text),
-        lambda found: F.when(found != "", found).otherwise(
-            F.coalesce(trim_ws(label), F.lit(""))
-        ),
-    )
+    return F.coalesce(_named_type(text), F.lit(""))
+
+
+def listing_type(lowered: Column, label: Column) -> Column:
+    """Type found in the lower-cased text, else the listing's own label, else an empty text."""
+    return F.coalesce(named_type(lowered), trim_ws(label), F.lit(""))
 
 
 def listing_status(text: Column) -> Column:
@@ -100,17 +111,13 @@ def matched_type(
     def head(c: Column, n: int | None) -> Column:
         return c if n is None else F.left(c, F.lit(n))
 
-    def filled(c: Column) -> Column:
-        return let(c, lambda x: F.when(x != "", x))
-
-    from_title = F.when(
-        title != "",
-        F.coalesce(filled(property_type(title)), head(title, title_chars)),
-    )
+    from_title = F.when(title != "", F.coalesce(_named_type(title), head(title, title_chars)))
     from_description = F.when(
-        description != "", filled(property_type(head(description, description_chars)))
+        description != "", _named_type(head(description, description_chars))
+    )
+    return F.coalesce(
+        F.when(type_ != "", type_), from_title, from_description, F.lit(FALLBACK_TYPE)
     )
-    return F.coalesce(filled(type_), from_title, from_description, F.lit(FALLBACK_TYPE))
 
 
 def in_listing_order(listings: Column) -> Column:

@@ -48,16 +48,22 @@ def _part(dom: Column, body: Column, card: Column, test: D.Test) -> Column:
 
 
 def listing_fields(
-    pos: Column, raw: Column, title: Column, description: Column, label: Column, around: Column
+    pos: Column,
+    raw: Column,
+    lowered: Column,
+    title: Column,
+    description: Column,
+    label: Column,
+    around: Column,
 ) -> list[Column]:
-    """The fields of one listing; ``raw`` is its joined text."""
+    """The fields of one listing; ``raw`` is its joined text, ``lowered`` that in lower case."""
     return [
         pos.cast("int").alias("pos"),
         listing_status(F.concat_ws(" ", raw, around)).alias("status"),
         F.lower(title).alias("title"),
         F.lower(description).alias("description"),
-        listing_type(raw, label).alias("type"),
-        F.lower(raw).alias("full_text"),
+        listing_type(lowered, label).alias("type"),
+        lowered.alias("full_text"),
     ]
 
 
@@ -79,10 +85,15 @@ def card_listings(dom: Column, body: Column, cap: int | None = None) -> Column:
         )
         def build(p: Column) -> Column:
             raw = F.trim(F.concat_ws(" ", p["title"], p["description"], p["label"]))
-            fields = listing_fields(
-                pos, raw, p["title"], p["description"], p["label"], p["around"]
-            )
-            return F.when(raw != "", F.struct(*fields))
+
+            def fields(r: Column) -> Column:
+                made = listing_fields(
+                    pos, r["raw"], r["lowered"], p["title"], p["description"], p["label"], p["around"]
+                )
+                return F.when(r["raw"] != "", F.struct(*made))
+
+            bound = let(raw, lambda r: F.struct(r.alias("raw"), F.lower(r).alias("lowered")))
+            return let(bound, fields)
 
         return let(parts, build)
 
@@ -143,25 +154,61 @@ def listing_rows(cards: DataFrame, key: str = "page_id", cap: int | None = None)
     texts = [F.coalesce(F.col(c), F.lit("")) for c in ("title", "description", "type")]
     joined = capped.withColumn("_raw", F.trim(F.concat_ws(" ", *texts)))
     around = F.coalesce(F.col("parent_text"), F.lit(""))
-    return joined.filter(F.col("_raw") != "").select(
-        key, *listing_fields(F.col("pos"), F.col("_raw"), *texts, around)
+    # A column of its own: the tests on it read it, they do not make it again.
+    filled = joined.filter(F.col("_raw") != "").withColumn("_lowered", F.lower("_raw"))
+    return filled.select(
+        key, *listing_fields(F.col("pos"), F.col("_raw"), F.col("_lowered"), *texts, around)
     )
 
 
-def first_listing_match(
+def keyword_sightings(
     listings: DataFrame, keywords: Sequence[str], key: str = "page_id"
 ) -> DataFrame:
-    """Per page, the first listing with a keyword: active before sold, then position."""
-    matching = with_hits(listings, "full_text", keywords)
-    candidate = F.struct(
+    """Per page and keyword, the earliest listing that holds it: ``(key, kw, at)``.
+
+    Made once for a query that asks for the first match and for the keywords: both
+    read it whole, so that listings are read, searched and shuffled once.
+    """
+    sightings = with_hits(listings, "full_text", keywords).select(
+        key,
         status_order(F.col("status")).alias("o"),
         "pos",
         matched_type(F.col("type"), F.col("title"), F.col("description")).alias("t"),
         "status",
+        F.posexplode("hits").alias("k", "kw"),
+    )
+    return sightings.groupBy(key, "kw").agg(
+        F.min(F.struct("o", "pos", "k", "t", "status")).alias("at")
     )
+
+
+def first_listing_match(
+    listings: DataFrame,
+    keywords: Sequence[str],
+    key: str = "page_id",
+    sightings: DataFrame | None = None,
+) -> DataFrame:
+    """Per page, the first listing with a keyword: active before sold, then position.
+
+    With ``sightings``, the ``keyword_sightings`` of the same listings and keywords.
+    """
+    if sightings is not None:
+        at = F.col("at")
+        candidates = sightings.select(
+            key, F.struct(at["o"].alias("o"), at["pos"].alias("pos"), at["t"].alias("t"), at["status"].alias("status")).alias("m")
+        )
+    else:
+        matching = with_hits(listings, "full_text", keywords)
+        kind = matched_type(F.col("type"), F.col("title"), F.col("description"))
+        candidates = matching.select(
+            key,
+            F.struct(
+                status_order(F.col("status")).alias("o"), "pos", kind.alias("t"), "status"
+            ).alias("m"),
+        )
     return (
-        matching.groupBy(key)
-        .agg(F.min(candidate).alias("m"))
+        candidates.groupBy(key)
+        .agg(F.min("m").alias("m"))
         .select(
             key,
             F.col("m.t").alias("matched_type"),
@@ -171,20 +218,30 @@ def first_listing_match(
 
 
 def listing_keyword_lists(
-    listings: DataFrame, keywords: Sequence[str], key: str = "page_id"
+    listings: DataFrame,
+    keywords: Sequence[str],
+    key: str = "page_id",
+    sightings: DataFrame | None = None,
 ) -> DataFrame:
     """Per page, keywords over all its listings, first seen first.
 
     Only the earliest sighting of each keyword travels, so a page's list is
-    never longer than the keyword list.
+    never longer than the keyword list. With ``sightings``, the
+    ``keyword_sightings`` of the same listings and keywords.
     """
-    sightings = with_hits(listings, "full_text", keywords).select(
-        key,
-        status_order(F.col("status")).alias("o"),
-        "pos",
-        F.posexplode("hits").alias("k", "kw"),
-    )
-    earliest = sightings.groupBy(key, "kw").agg(F.min(F.struct("o", "pos", "k")).alias("at"))
+    if sightings is not None:
+        at = F.col("at")
+        earliest = sightings.select(
+            key, "kw", F.struct(at["o"].alias("o"), at["pos"].alias("pos"), at["k"].alias("k")).alias("at")
+        )
+    else:
+        found = with_hits(listings, "full_text", keywords).select(
+            key,
+            status_order(F.col("status")).alias("o"),
+            "pos",
+            F.posexplode("hits").alias("k", "kw"),
+        )
+        earliest = found.groupBy(key, "kw").agg(F.min(F.struct("o", "pos", "k")).alias("at"))
     return earliest.groupBy(key).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("at", "kw"))), lambda x: x["kw"]
