@@ -6,8 +6,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from contactmine.functions import locations as L
+from __spark_entry__ import queries
+from contactmine.functions import listings, locations as L
 from contactmine.functions.text import WS, WS_JAVA, squeeze_ws
+from contactmine.operators import listings as LO
 
 
 def _before(pattern, cutoff, text, state):
@@ -84,3 +86,69 @@ def test_white_space_of_long_texts_is_the_same_class(spark):
     assert both.filter("b").count() == 29
     one = spark.createDataFrame([(" a \t b\x85\xa0c\n",)], "t string")
     assert one.select(squeeze_ws(F.col("t")).alias("t")).first()["t"] == "a b c"
+
+
+def _cards(spark, folder):
+    rows = [(o, n, 1 + (o * 7 + n) % 9, n, "RAN"[(o + n) % 3], "FO"[o % 2]) for o in range(1, 60) for n in range(1, 5)]
+    names = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(rows, names).write.parquet(f"{folder}/lineitem.parquet")
+    parts = [(k, ["blue gear", "red widget", "plain"][k % 3], f"Brand#{k}", "LAND TIN") for k in range(1, 10)]
+    spark.createDataFrame(
+        parts, "p_partkey long, p_name string, p_brand string, p_type string"
+    ).write.parquet(f"{folder}/part.parquet")
+
+
+def test_notes_read_the_cards_once(spark, tmp_path):
+    _cards(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        notes = queries()["compose_notes"](spark, str(tmp_path))
+        plan = notes._jdf.queryExecution().executedPlan().toString()
+        found = dict(notes.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Window [") == 1
+    first = {r[0]: r for r in queries()["first_listing_match"](spark, str(tmp_path)).collect()}
+    words = dict(queries()["listing_keywords"](spark, str(tmp_path)).collect())
+    assert len(found) > 40
+    assert found == {
+        page: f"{first[page]['match_source']}: {first[page]['matched_type']} — keywords: {words[page]}"
+        for page in first
+    }
+
+
+def test_shared_sightings_give_the_same_rows(spark):
+    pick = random.Random(5)
+    texts = ["a gear", "gear and anvil", "anvil", "nothing", "widget gear anvil", None]
+    rows = [
+        (
+            pick.choice([1, 2, 3, None]),
+            pick.choice([1, 2, 3, None]),
+            pick.choice(["Active", "Sold", None]),
+            pick.choice(["", "the office", None]),
+            pick.choice(["", "former bakery", None]),
+            pick.choice(["", "Land", "Retail", None]),
+            pick.choice(texts),
+        )
+        for _ in range(40)
+    ]
+    names = "page_id int, pos int, status string, title string, description string, type string, full_text string"
+    keys = ["anvil", "gear", "widget"]
+    for n in range(0, 40, 8):
+        table = spark.createDataFrame(rows[n : n + 8], names)
+        seen = LO.keyword_sightings(table, keys)
+        for made in (LO.first_listing_match, LO.listing_keyword_lists):
+            assert sorted(made(table, keys, sightings=seen).collect(), key=str) == sorted(
+                made(table, keys).collect(), key=str
+            )
+
+
+def test_first_listed_type_wins(spark):
+    types = listings.PROPERTY_TYPES
+    pairs = [(f"{a.upper()} / {b}",) for a in types for b in types]
+    pairs += [("Performer stage",), ("former\u00a0o'neil-x",), ("a former",), (None,)]
+    out = spark.createDataFrame(pairs, "t string").select("t", listings.property_type(F.col("t")).alias("x"))
+    shown = {r["t"]: r["x"] for r in out.collect()}
+    assert [shown[t] for (t,) in pairs[-4:]] == ["", "Former O'Neil-X", "", ""]
+    for (t,) in pairs[:-4]:
+        assert shown[t] == next(p for p in types if p in t.lower()).title()
